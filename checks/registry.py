@@ -29,7 +29,7 @@ def half_even(expr: str, digits: int) -> str:
     step = 10 ** (9 - digits)
     whole, rest = f"(abs({unit}) // {step})", f"(abs({unit}) % {step})"
     up = f"CASE WHEN 2 * {rest} > {step} OR (2 * {rest} = {step} AND {whole} % 2 = 1) THEN 1 ELSE 0 END"
-    return f"(sign({unit}) * CAST({whole} + {up} AS DOUBLE) / CAST({10**digits} AS DOUBLE))"
+    return f"(sign({unit}) * CAST({whole} + {up} AS DOUBLE) / CAST({10**digits} AS DOUBLE) + 0)"
 
 
 def mean(expr: str) -> str:

@@ -66,6 +66,33 @@ SELECT concat('m', CAST(p_partkey AS STRING)) AS market_id, concat('c', CAST(p_p
 FROM (SELECT *, <explode 0 2> AS v FROM <part>) AS p
 """
 
+TRADE_MESSAGES = """
+SELECT local_ts AS receipt_ts, CASE event_type
+  WHEN 'purchase' THEN to_json(named_struct('event_type', 'trade', 'timestamp', unix_millis(exchange_ts),
+    'asset_id', token_id, 'market', condition_id, 'side', side, 'price', CAST(price AS STRING),
+    'size', CAST(size AS STRING), 'id', trade_id, 'taker', taker_address))
+  WHEN 'click' THEN to_json(named_struct('timestamp', 0, 'ts', unix_millis(exchange_ts), 'asset', token_id,
+    'condition_id', condition_id, 'side', side, 'price', price, 'size', size, 'trade_id', trade_id,
+    'taker', taker_address))
+  WHEN 'view' THEN to_json(named_struct('type', 'last_trade_price',
+    'timestamp', CAST(unix_millis(exchange_ts) AS STRING), 'asset_id', token_id, 'market', condition_id,
+    'side', side, 'price', CAST(price AS STRING), 'size', size, 'id', trade_id, 'taker', taker_address))
+  WHEN 'signup' THEN to_json(array(named_struct('event_type', '', 'type', 'execution', 'ts', unix_millis(exchange_ts),
+    'asset_id', token_id, 'market', condition_id, 'side', side, 'price', price, 'size', CAST(size AS STRING),
+    'id', trade_id, 'taker', taker_address)))
+  ELSE to_json(named_struct('event_type', 'price_change', 'asset_id', token_id, 'price', price)) END AS value
+FROM {trades}
+"""
+BOOK_MESSAGES = """
+SELECT local_ts AS receipt_ts, to_json(named_struct('event_type', 'book', 'timestamp', unix_millis(exchange_ts),
+  'asset_id', token_id, 'market', condition_id,
+  'bids', transform(sequence(1, 12), i -> named_struct(
+     'price', CAST(CAST(0.4 - (i * 7 % 13) * 0.001 AS DECIMAL(9,3)) AS STRING), 'size', (event_id + i) % 5)),
+  'asks', transform(filter(sequence(1, 12), i -> i <= event_id % 13), i -> named_struct(
+     'price', CAST(0.5 + (i * 5 % 13) * 0.001 AS DECIMAL(9,3)), 'size', (event_id * i) % 7)))) AS value
+FROM {trades}
+"""
+
 CATEGORY_MAP = "SELECT concat('m', CAST(c_custkey AS STRING)) AS market_id, c_mktsegment AS category FROM <customer>"
 
 
@@ -157,6 +184,29 @@ class Tables:
     def markets(self) -> DataFrame:
         return computed_category(self.raw_markets, self.category_map)
 
+    @cached_property
+    def trade_messages(self) -> DataFrame:
+        """One feed message per event, in a different spelling for each event type."""
+        return self.spark.sql(TRADE_MESSAGES, trades=self.trades)
+
+    @cached_property
+    def book_messages(self) -> DataFrame:
+        """One book message per event: twelve bids, up to twelve asks, unsorted, some of size 0."""
+        return self.spark.sql(BOOK_MESSAGES, trades=self.trades)
+
+    @cached_property
+    def orders(self) -> DataFrame:
+        """Line items read as unranked orders of one book per part."""
+        return self.read("lineitem").selectExpr(
+            "l_partkey AS snapshot",
+            "CASE WHEN l_linestatus = 'O' THEN 'bid' ELSE 'ask' END AS side",
+            "l_extendedprice AS price",
+            "l_quantity AS size",
+            "l_orderkey",
+            "l_linenumber",
+            "l_suppkey",
+        )
+
     @cached_property
     def as_of(self) -> str:
         """The newest event: the query time of all look-backs."""

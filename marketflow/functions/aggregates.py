@@ -34,8 +34,12 @@ def mean(x: Column) -> Column:
 
 
 def rounded(x: Column, digits: int) -> Column:
-    """Round halves to even."""
-    return F.bround(x, digits).cast("double")
+    """Round halves to even.
+
+    The first rounding removes the noise of the binary quotient, so that a mean of ticks that ends in an
+    exact half is seen as one.
+    """
+    return F.bround(F.round(x, 12), digits).cast("double")
 
 
 def any_nonnull(x: Column) -> Column:

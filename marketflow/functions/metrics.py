@@ -7,6 +7,8 @@ from datetime import datetime, timezone
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from marketflow.functions.aggregates import rounded
+
 
 def moment(as_of) -> Column:
     """Query time: None for now, a datetime (UTC if naive), a string in the session time zone, or a column."""
@@ -52,7 +54,7 @@ def latency_ms(exchange: Column, local: Column) -> Column:
 def probability(mid_px: Column, yes: bool = True) -> Column:
     """Implied probability in percent."""
     p = mid_px if yes else 1 - mid_px
-    return F.bround(p * 100, 2).cast("double")
+    return rounded(p * 100, 2)
 
 
 # Chart labels of the first level; deeper levels append their number.

@@ -131,20 +131,20 @@ SIDES = ("BUY", "SELL", "UNKNOWN")
 
 # JSON documents. Fields that arrive either as a JSON string or as a nested value are read as strings:
 # Spark's JSON reader keeps the raw text of a nested value when the field is declared a string.
-MARKET_DOC = T.StructType.fromDDL(
+MARKET_DOC = (
     "id string, conditionId string, clobTokenIds string, outcomes string, endDate string, events string, "
     "question string, slug string, category string, active string, closed string, volumeNum string, "
     "liquidityNum string, bestBid string, bestAsk string, lastTradePrice string"
 )
-EVENT_DOC = T.StructType.fromDDL(
+EVENT_DOC = (
     "id string, slug string, title string, startDate string, endDate string, "
     "tags array<struct<label:string>>, markets array<string>"
 )
-TRADE_DOC = T.StructType.fromDDL(
+TRADE_DOC = (
     "timestamp double, conditionId string, asset string, side string, price string, size string, "
     "outcome string, outcomeIndex int, transactionHash string, proxyWallet string"
 )
-BOOK_DOC = T.StructType.fromDDL(
+BOOK_DOC = (
     "market string, asset_id string, bids array<struct<price:string,size:string>>, "
     "asks array<struct<price:string,size:string>>, last_trade_price string"
 )
