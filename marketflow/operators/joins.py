@@ -44,7 +44,7 @@ def attach(
         return facts.join(F.broadcast(dim), on, how)
     hashable = [f.name for f in facts.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]
     salted = facts.withColumn("_salt", F.pmod(F.xxhash64(*hashable), F.lit(salts)))
-    repeated = dim.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).cast("long"))
+    repeated = dim.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)).cast("array<bigint>")))
     return salted.join(repeated, [*on, "_salt"], how).drop("_salt")
 
 

@@ -50,20 +50,23 @@ def cumulative(
     """
     points = (
         df.groupBy(*keys, order)
-        .agg(*[F.sum(v).alias(name) for name, v in values.items()], F.count(F.lit(1)).alias("_n"))
+        .agg(F.count(F.lit(1)).alias("_n"), *[F.sum(v).alias(name) for name, v in values.items()])
         .withColumn("_bucket", F.date_trunc(bucket, order))
+        .filter(F.col("_bucket").isNotNull())
     )
     totals = points.groupBy(*keys, "_bucket").agg(
-        *[F.sum(name).alias(name) for name in values], F.sum("_n").alias("_rows")
+        F.sum("_n").alias("_rows"), *[F.sum(name).alias(name) for name in values]
     )
     earlier = W.partitionBy(*keys).orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)
-    # `_rows > 0` always holds; it keeps the same columns alive in both uses of `points`, so that Spark
-    # runs its shuffle once and reuses it.
+    # `_rows > 0` always holds. With it, and with the null filter above and equal column order, both uses of
+    # `points` need the same columns under the same filters, so that Spark runs its shuffle once and reuses it.
     offsets = totals.filter(F.col("_rows") > 0).select(
         *keys, "_bucket", *[F.sum(name).over(earlier).alias(f"_before_{name}") for name in values]
     )
     inside = W.partitionBy(*keys, "_bucket").orderBy(order).rowsBetween(W.unboundedPreceding, W.currentRow)
-    local = points.select(*keys, "_bucket", order, "_n", *[F.sum(name).over(inside).alias(name) for name in values])
+    local = points.select(*keys, "_bucket", order, "_n", *values).withColumns(
+        {name: F.sum(name).over(inside) for name in values}
+    )
     out = local.join(offsets, [*keys, "_bucket"]).select(*keys, order, "_n", *_plus_earlier(local, values))
     return (_repeat(out, "_n") if per_row else out).drop("_n")
 
