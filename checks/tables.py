@@ -187,12 +187,16 @@ class Tables:
     @cached_property
     def trade_messages(self) -> DataFrame:
         """One feed message per event, in a different spelling for each event type."""
-        return self.spark.sql(TRADE_MESSAGES, trades=self.trades)
+        return self._landed(TRADE_MESSAGES)
 
     @cached_property
     def book_messages(self) -> DataFrame:
         """One book message per event: twelve bids, up to twelve asks, unsorted, some of size 0."""
-        return self.spark.sql(BOOK_MESSAGES, trades=self.trades)
+        return self._landed(BOOK_MESSAGES)
+
+    def _landed(self, text: str) -> DataFrame:
+        # The driver table is one file of one row group; a feed lands in many files.
+        return self.spark.sql(text, trades=self.trades).repartition(self.spark.sparkContext.defaultParallelism)
 
     @cached_property
     def orders(self) -> DataFrame:

@@ -12,10 +12,10 @@ from marketflow.operators.joins import attach
 def histogram(df: DataFrame, col: str, bins: int = 50, keys: tuple = ("condition_id",)) -> DataFrame:
     """Equal-width bins between each key's smallest and greatest value; the last bin includes its upper edge.
 
-    Equal values are counted together before anything is joined, and the bounds have one row per key.
+    Two passes over the column, each with a small shuffle: the bounds are one row per key, and with them at hand
+    every task counts its own rows per bin.
     """
     values = df.filter(F.col(col).isNotNull()).select(*keys, F.col(col).cast("double").alias("_x"))
-    counts = values.groupBy(*keys, "_x").agg(F.count(F.lit(1)).alias("_n"))
     bounds = values.groupBy(*keys).agg(F.min("_x").alias("_lo"), F.max("_x").alias("_hi"))
     # A single value gets a range of width one around it.
     flat = F.col("_lo") == F.col("_hi")
@@ -26,9 +26,9 @@ def histogram(df: DataFrame, col: str, bins: int = 50, keys: tuple = ("condition
     )
     place = F.floor((F.col("_x") - F.col("lo")) * bins / (F.col("hi") - F.col("lo")))
     return (
-        attach(counts, bounds, list(keys), how="inner")
+        attach(values, bounds, list(keys), how="inner")
         .groupBy(*keys, F.least(place, F.lit(bins - 1)).cast("int").alias("bin"), "lo", "hi")
-        .agg(F.sum("_n").alias("n"))
+        .agg(F.count(F.lit(1)).alias("n"))
     )
 
 

@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from marketflow.session import pinned
+
 BROADCAST_LIMIT = 64 * 1024 * 1024
 SALTS = 64
 
@@ -35,12 +37,16 @@ def attach(
 ) -> DataFrame:
     """Join rows to a dimension that has one row per key ('left' or 'inner').
 
-    A dimension whose measured size is within the limit is broadcast. A larger one is joined by shuffle on
-    the key and a salt: each fact row takes one of `salts` values from a hash of its own content (the same
-    after a task retry), each dimension row is repeated once per salt, and so a key that holds a third
-    of the facts is spread over `salts` groups.
+    The dimension is written to the checkpoint folder and measured there, so that it is computed once; `small`
+    gives the answer for one that is already written and measured. Within the limit it is broadcast. A larger
+    one is joined by shuffle on the key and a salt: each fact row takes one of `salts` values from a hash of its
+    own content (the same after a task retry), each dimension row is repeated once per salt, and so a key that
+    holds a third of the facts is spread over `salts` groups.
     """
-    if fits_broadcast(dim) if small is None else small:
+    if small is None:
+        dim = pinned(dim)
+        small = fits_broadcast(dim)
+    if small:
         return facts.join(F.broadcast(dim), on, how)
     hashable = [f.name for f in facts.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]
     salted = facts.withColumn("_salt", F.pmod(F.xxhash64(*hashable), F.lit(salts)))

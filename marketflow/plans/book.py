@@ -32,8 +32,9 @@ TOKEN = ["condition_id", "token_id"]
 PX, SZ = ("bid_px", "ask_px"), ("bid_sz", "ask_sz")
 
 
-def _ts() -> Column:
-    return F.col("exchange_ts")
+def _last(x: Column) -> Column:
+    """Newest value; rows of equal exchange time are settled by receipt time, then by value."""
+    return argmax(x, F.col("exchange_ts"), F.col("local_ts"), x)
 
 
 def _mid() -> Column:
@@ -104,7 +105,7 @@ def _two_sided(levels: DataFrame, bid: str, ask: str, labels: tuple, columns) ->
 def price_summary(levels: DataFrame, market=None, token=None, span=None) -> DataFrame:
     def columns(x: Column) -> list[Column]:
         return [
-            argmax(x, _ts()).alias("last"),
+            _last(x).alias("last"),
             rounded(mean(x), 4).alias("mean"),
             F.max(x).alias("max"),
             F.min(x).alias("min"),
@@ -116,7 +117,7 @@ def price_summary(levels: DataFrame, market=None, token=None, span=None) -> Data
 def size_summary(levels: DataFrame, market=None, token=None, span=None) -> DataFrame:
     def columns(x: Column) -> list[Column]:
         return [
-            argmax(x, _ts()).alias("last"),
+            _last(x).alias("last"),
             rounded(mean(x), 2).alias("mean"),
             rounded(F.sum(x), 0).alias("total"),
         ]
@@ -137,9 +138,9 @@ def mid_summary(levels: DataFrame, market=None, token=None, span=None) -> DataFr
     return _summary(
         with_book(scoped(levels, market, token, span), *PX),
         "mid",
-        argmax(_mid(), _ts()).cast("double").alias("last"),
+        _last(_mid()).cast("double").alias("last"),
         rounded(mean(_mid()), 4).alias("mean"),
-        rounded(delta_from_min(_mid(), _ts()), 4).alias("delta"),
+        rounded(delta_from_min(_mid(), F.col("exchange_ts"), F.col("local_ts"), _mid()), 4).alias("delta"),
     )
 
 
@@ -151,7 +152,7 @@ def imbalance_summary(levels: DataFrame, market=None, token=None, span=None) ->
     return _summary(
         with_book(scoped(levels, market, token, span), *SZ),
         "imbalance",
-        argmax(_imbalance(), _ts()).alias("last"),
+        _last(_imbalance()).alias("last"),
         rounded(mean(_imbalance()), 4).alias("mean"),
         F.max(_imbalance()).alias("max"),
         F.min(_imbalance()).alias("min"),
@@ -166,7 +167,7 @@ def spread_summary(levels: DataFrame, market=None, token=None, span=None) -> Dat
     return _summary(
         with_book(scoped(levels, market, token, span), *PX),
         "spread",
-        argmax(_spread(), _ts()).cast("double").alias("last"),
+        _last(_spread()).cast("double").alias("last"),
         rounded(mean(_spread()), 4).alias("mean"),
         F.max(_spread()).cast("double").alias("max"),
     )
@@ -180,7 +181,7 @@ def liquidity_summary(levels: DataFrame, market=None, token=None, span=None) ->
     return _summary(
         with_book(scoped(levels, market, token, span), *SZ),
         "liquidity",
-        argmax(_liquidity(), _ts()).cast("double").alias("last"),
+        _last(_liquidity()).cast("double").alias("last"),
         rounded(mean(_liquidity()), 0).alias("mean"),
         F.min(_liquidity()).cast("double").alias("min"),
     )
@@ -202,7 +203,7 @@ def probability_series(levels: DataFrame, market=None, token=None, span=None) ->
 
 def current_probability(levels: DataFrame, market=None, token=None, span=None) -> DataFrame:
     """Newest YES and NO probability in percent, per token."""
-    last = _touch(levels, PX, market, token, span).groupBy(*TOKEN).agg(argmax(_mid(), _ts()).alias("mid"))
+    last = _touch(levels, PX, market, token, span).groupBy(*TOKEN).agg(_last(_mid()).alias("mid"))
     sides = F.stack(
         F.lit(2),
         F.lit("YES Probability"),

@@ -42,14 +42,17 @@ def token_coverage(
     trades: DataFrame, levels: DataFrame, markets: DataFrame, as_of=None, interval: str = "1 HOUR", exact: bool = True
 ) -> DataFrame:
     """Recently seen tokens against known tokens, in one row."""
-    distinct = F.countDistinct if exact else approx_distinct
     recent = recent_tokens(trades, levels, as_of, interval)
-    token = F.col("token_id")
-    seen = recent.agg(
-        distinct(F.when(F.col("seen_in") == "trades", token)).alias("trade_tokens"),
-        distinct(F.when(F.col("seen_in") == "levels", token)).alias("book_tokens"),
-        distinct(token).alias("recent_tokens"),
-    )
+    traded, booked = F.col("seen_in") == "trades", F.col("seen_in") == "levels"
+    names = ("trade_tokens", "book_tokens", "recent_tokens")
+    if exact:
+        # One row per token first: one combined aggregation instead of one distinct per count.
+        per_token = recent.groupBy("token_id").agg(F.max(traded).alias("traded"), F.max(booked).alias("booked"))
+        counts = (F.count_if("traded"), F.count_if("booked"), F.count(F.lit(1)))
+    else:
+        per_token, token = recent, F.col("token_id")
+        counts = (approx_distinct(F.when(traded, token)), approx_distinct(F.when(booked, token)), approx_distinct(token))
+    seen = per_token.agg(*[count.alias(name) for count, name in zip(counts, names)])
     known = latest_markets(markets).agg(
         F.count(F.lit(1)).alias("markets"),
         F.count_if(F.col("active") == 1).alias("active_markets"),

@@ -14,6 +14,7 @@ from marketflow.functions.aggregates import rounded
 from marketflow.functions.metrics import notional
 from marketflow.operators.dimension import latest, latest_by_condition, with_market
 from marketflow.operators.filters import active_only, lookback, matches, non_empty, optional_eq, scoped, top
+from marketflow.session import pinned
 
 
 def _value() -> Column:
@@ -206,10 +207,11 @@ def search_markets(
 ) -> DataFrame:
     """Markets whose question contains `text` (any case), with trade count, first and last trade, book rows.
 
-    The hits are at most `limit` rows, so they are broadcast to cut both fact tables before these are counted.
+    The hits are at most `limit` rows: they are found once, and broadcast to cut both fact tables before these
+    are counted.
     """
     newest = _newest_by_market(markets, "condition_id", "question", "category", "computed_category")
-    hits = matches(newest, "question", text).orderBy("question", "market_id").limit(limit)
+    hits = pinned(matches(newest, "question", text).orderBy("question", "market_id").limit(limit))
     wanted = F.broadcast(hits.select("condition_id").distinct())
     traded = (
         trades.join(wanted, "condition_id", "left_semi")

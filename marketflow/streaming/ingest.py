@@ -107,7 +107,7 @@ class _Batches:
         events = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             trades = normalize_trades(events.filter(F.col("kind") == "trade"))
-            books = parse_books(events.filter(F.col("kind") == "book"))
+            books = parse_books(events.filter(F.col("kind") == "book")).persist(StorageLevel.MEMORY_AND_DISK)
             good_trades = enriched(trades.filter(F.col("reject").isNull()).drop("event", "reject"))
             good_levels = enriched(unfold_levels(books))
             bad = (
@@ -127,6 +127,7 @@ class _Batches:
             )
             for observation in counted.values():
                 self.stats.add(observation.get)
+            books.unpersist()
         finally:
             events.unpersist()
 
