@@ -25,12 +25,19 @@ def _per_condition(trades: DataFrame) -> DataFrame:
     return trades.groupBy("condition_id").agg(F.count(F.lit(1)).alias("trades"), F.sum(_value()).alias("volume"))
 
 
+def _named(best: DataFrame, markets: DataFrame, columns: list[str]) -> DataFrame:
+    """Name the rows of a top-k result. It is small by its limit: it is found once, and only its markets' versions are read on."""
+    best = pinned(best)
+    wanted = markets.join(F.broadcast(best.select("condition_id")), "condition_id", "left_semi")
+    return with_market(best, wanted, columns, "left")
+
+
 def top_markets(trades: DataFrame, markets: DataFrame, as_of=None, hours: int = 24, limit: int = 10) -> DataFrame:
     """Markets by trade count."""
     counts = _per_condition(lookback(trades, as_of, f"{hours} HOURS", inclusive=False))
     # The limit needs only the trades, so the join sees `limit` rows.
     best = top(counts, "trades", limit, "condition_id")
-    named = with_market(best, markets, ["question", "category", "computed_category"], "left")
+    named = _named(best, markets, ["question", "category", "computed_category"])
     out = named.select(
         F.col("condition_id").alias("market_id"),
         "question",
@@ -125,7 +132,7 @@ def top_traded_volume(
 def _named_top(counts: DataFrame, markets: DataFrame, category: str | None, by: str, limit: int) -> DataFrame:
     if category is None:
         # No condition on the dimension: cut first, then name the rows that are left.
-        named = with_market(top(counts, by, limit, "condition_id"), markets, ["question"], "left")
+        named = _named(top(counts, by, limit, "condition_id"), markets, ["question"])
         named = named.orderBy(F.desc(by), "condition_id")
     else:
         named = with_market(counts, markets, ["question", "computed_category"], "left")
