@@ -105,9 +105,9 @@ class _Batches:
             return rows if tokens is None else enrich(rows, tokens, small=self._small)
 
         events = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        books = parse_books(events.filter(F.col("kind") == "book")).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             trades = normalize_trades(events.filter(F.col("kind") == "trade"))
-            books = parse_books(events.filter(F.col("kind") == "book")).persist(StorageLevel.MEMORY_AND_DISK)
             good_trades = enriched(trades.filter(F.col("reject").isNull()).drop("event", "reject"))
             good_levels = enriched(unfold_levels(books))
             bad = (
@@ -127,8 +127,8 @@ class _Batches:
             )
             for observation in counted.values():
                 self.stats.add(observation.get)
-            books.unpersist()
         finally:
+            books.unpersist()
             events.unpersist()
 
 

@@ -21,5 +21,12 @@ def test_every_query_has_sql():
     assert set(entry.queries()) == set(entry.oracle_sql())
 
 
+def test_no_query_pairs_everything_or_leaves_the_jvm(spark, capsys):
+    for name, run in entry.queries().items():
+        run(spark, SMALL).explain()
+        plan = capsys.readouterr().out
+        assert not [w for w in ("CartesianProduct", "NestedLoopJoin", "EvalPython", "InPandas") if w in plan], name
+
+
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
