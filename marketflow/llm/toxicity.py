@@ -30,7 +30,7 @@ BUCKETS = 1 << 22
 SEEN, SIGMA, COMMON = 3, 5.0, 0.2
 FACTORS = 4
 SAMPLE = 20000
-EPOCHS = 15
+EPOCHS, STEPS = 15, 400  # passes over the sample, and updates at least
 CUT = 0.3
 
 
@@ -100,7 +100,7 @@ def fit(x: list[np.ndarray], y: np.ndarray, epochs: int = EPOCHS, decay: float =
     x = m.known(x)
     seen_w, seen_v = np.full(n, 1e-4), np.full((n, FACTORS), 1e-4)
     best = None
-    for _ in range(epochs):
+    for _ in range(max(epochs, STEPS * 128 // len(train) + 1)):
         rng.shuffle(train)
         for begin in range(0, len(train), 128):
             part = [i for i in train[begin : begin + 128] if len(x[i])]

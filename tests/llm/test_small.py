@@ -232,7 +232,7 @@ def test_pairs_that_weights_miss():
     for _ in range(4000):  # toxic only if both terms stand there
         a, b = rng.random(2) < 0.5
         others = set(rng.integers(10, 60, 5).tolist())
-        x.append(np.array(sorted([1] * a + [2] * b + list(others)), np.int32))
+        x.append(np.array(sorted([1] * int(a) + [2] * int(b) + list(others)), np.int32))
         y.append(float(a and b))
     machine = toxicity.fit(x, np.array(y))
     score = machine.score(x)
