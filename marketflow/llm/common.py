@@ -78,15 +78,15 @@ def stored(df: DataFrame) -> DataFrame:
 
 
 def with_columns(
-    docs: DataFrame, added: dict[str, pa.DataType], types: dict[str, str], make: Callable[[], Callable], text: str = "text"
+    docs: DataFrame, added: dict[str, pa.DataType], types: dict[str, str], make: Callable[[], Callable], keep: list[str] | None = None
 ) -> DataFrame:
     """Add columns computed from the text of each row, without a shuffle.
 
     `make()` runs once in each task and returns a function from a list of texts (bytes; null: None) to a dict of
-    columns. An added column replaces one of the same name; every other column passes through.
+    columns. An added column replaces one of the same name; the other columns, or those in `keep`, pass through.
     """
-    passed = [c for c in docs.columns if c not in added]
-    source = docs.select(*[F.col(f"`{c}`") for c in passed], F.col(f"`{text}`").cast("binary").alias("__text"))
+    passed = [c for c in (docs.columns if keep is None else keep) if c not in added]
+    source = docs.select(*[F.col(f"`{c}`") for c in passed], F.col("text").cast("binary").alias("__text"))
     schema = docs.select(*[F.col(f"`{c}`") for c in passed], *[F.lit(None).cast(t).alias(c) for c, t in types.items()]).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

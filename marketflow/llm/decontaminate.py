@@ -82,7 +82,7 @@ def original_spans(text: bytes, spans: list[tuple[int, int]]) -> list[dict]:
     ]
 
 
-def _scan(docs: DataFrame, items: list[tuple[int, bytes]], window: int) -> DataFrame:
+def _scan(docs: DataFrame, items: list[tuple[int, bytes]], window: int, keep: list[str] | None) -> DataFrame:
     """Columns n_words, word_spans, spans and items of one block of benchmark items."""
     held = docs.sparkSession.sparkContext.broadcast(items)
 
@@ -107,6 +107,7 @@ def _scan(docs: DataFrame, items: list[tuple[int, bytes]], window: int) -> DataF
         {"n_words": pa.int64(), "word_spans": SPAN, "spans": SPAN, "items": pa.list_(pa.int64())},
         {"n_words": "long", "word_spans": SPANS, "spans": SPANS, "items": "array<long>"},
         make,
+        keep,
     )
 
 
@@ -131,8 +132,9 @@ def _merged(spans):
     )
 
 
-def scan(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """`docs` with n_words, word_spans, spans (code points of the original), items, n_hit, n_items, contaminated."""
+def scan(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES,
+         keep: list[str] | None = None) -> DataFrame:
+    """`docs` (or its columns in `keep`, with doc_id) with n_words, word_spans, spans (code points of the original), items, n_hit, n_items, contaminated."""
     items = benchmark.where(F.col("text").isNotNull() & F.col("item_id").isNotNull())
     items = items.select(F.col("item_id").cast("long"), F.col("text").cast("binary").alias("text")).distinct()
     size = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0] * window
@@ -140,9 +142,10 @@ def scan(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_byte
     numbered = items.withColumn("block", F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)))
     parts = []
     base = docs if blocks == 1 else docs.withColumn("__row", F.xxhash64("doc_id", "text"))
+    kept = keep if keep is None or blocks == 1 else [*keep, "__row"]
     for block in range(blocks):
         rows = numbered.where(F.col("block") == block).collect()
-        parts.append(_scan(base, [(r.item_id, bytes(r.text)) for r in rows], window))
+        parts.append(_scan(base, [(r.item_id, bytes(r.text)) for r in rows], window, kept))
     if blocks == 1:
         found = parts[0]
     else:

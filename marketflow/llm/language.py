@@ -141,6 +141,7 @@ def train(labelled: DataFrame, size: int = SAMPLE) -> Model:
         {"buckets": pa.list_(pa.int32()), "share": pa.list_(pa.float32())},
         {"buckets": "array<int>", "share": "array<float>"},
         make,
+        ["doc_id", "lang"],
     ).select("doc_id", "buckets", "share", "lang").toArrow()
     found = [
         (i, np.asarray(b), np.asarray(s), lang)
@@ -150,8 +151,8 @@ def train(labelled: DataFrame, size: int = SAMPLE) -> Model:
     return fit([r[1:] for r in sorted(found, key=lambda r: r[0])])
 
 
-def identify(docs: DataFrame, model: Model) -> DataFrame:
-    """`docs` with lang_pred, score and rejected."""
+def identify(docs: DataFrame, model: Model, keep: list[str] | None = None) -> DataFrame:
+    """`docs` (or its columns in `keep`) with lang_pred, score and rejected."""
     held = docs.sparkSession.sparkContext.broadcast(model)
 
     def make():
@@ -166,13 +167,14 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
         {"lang_pred": pa.string(), "score": pa.float64(), "rejected": pa.bool_()},
         {"lang_pred": "string", "score": "double", "rejected": "boolean"},
         make,
+        keep,
     )
 
 
 def predictions(docs: DataFrame, size: int = SAMPLE) -> DataFrame:
     """One row per document; learned from the rows whose crc32(doc_id) mod 3 is not 1."""
     model = train(docs.where(remainder(F.col("doc_id"), 3) != 1), size)
-    found = identify(docs.select("doc_id", "text"), model)
+    found = identify(docs, model, ["doc_id"])
     held = F.coalesce(remainder(F.col("doc_id"), 3) == 1, F.lit(False))
     return found.select("doc_id", held.alias("held_out"), "lang_pred", "score", "rejected")
 

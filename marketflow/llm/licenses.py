@@ -127,8 +127,8 @@ def rarity(docs: DataFrame) -> dict[bytes, float]:
 MATCH = pa.list_(pa.struct([("label", pa.string()), ("start", pa.int64()), ("words", pa.int64()), ("cover", pa.float64())]))
 
 
-def scan(docs: DataFrame) -> DataFrame:
-    """`docs` with n_words, n_base, first_word, last_word, base_labels, labels, score and matches (word places)."""
+def scan(docs: DataFrame, keep: list[str] | None = None) -> DataFrame:
+    """`docs` (or its columns in `keep`) with n_words, n_base, first_word, last_word, base_labels, labels, score and matches (word places)."""
     held = docs.sparkSession.sparkContext.broadcast(rarity(docs))
     names = ["n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score", "matches"]
 
@@ -158,11 +158,11 @@ def scan(docs: DataFrame) -> DataFrame:
 
     kinds = [pa.int64()] * 4 + [pa.string()] * 2 + [pa.float64(), MATCH]
     types = ["long"] * 4 + ["string"] * 2 + ["double", "array<struct<label:string,start:long,words:long,cover:double>>"]
-    return with_columns(docs, dict(zip(names, kinds, strict=True)), dict(zip(names, types, strict=True)), make)
+    return with_columns(docs, dict(zip(names, kinds, strict=True)), dict(zip(names, types, strict=True)), make, keep)
 
 
 def digest(docs: DataFrame) -> DataFrame:
     """One row per document as the registered query returns it."""
-    return scan(docs.select("doc_id", "text")).select(
+    return scan(docs, ["doc_id"]).select(
         "doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score"
     )

@@ -4,11 +4,11 @@ Documents are linked when 100 * intersection >= 75 * union of their sets of dist
 
 1. One pass over the texts gives each set a 128-bit key, 64 band keys of 6 minima each, and a signature of 128 bytes.
    Equal sets are one node (its smallest doc_id) from here on, so copies never meet each other.
-2. Nodes with equal band keys are candidates: each node against the smallest node of its bucket, and in buckets of at
+2. Nodes with equal band keys are candidates: each node against one of its bucket, and in buckets of at
    most `small` nodes also all others. The chance that a link at exactly 0.75 shares no bucket is 0.822**64 = 4e-6.
-3. Larger buckets are not paired out. When their nodes turn out to be one component, nothing is left to find in them.
-   Otherwise their nodes are grouped again by every two such buckets they share, which is far more selective, and so
-   on; after `levels` rounds what is left is compared across components in full.
+3. Larger buckets are not paired out; each node meets one node of the bucket, drawn by hash. When the nodes turn out
+   to be one component, nothing is left to find in the bucket. Otherwise nodes of different components are compared
+   by bitmaps of their shingles, which bound the likeness from above, and only those that may be linked go on.
 4. Each candidate's signatures are compared a batch at a time. A pair is dropped as soon as the posterior probability
    of a likeness of 0.75 or more is under `miss`.
 5. Survivors are verified on the full sets of the texts themselves. Components come from the verified links.
@@ -26,7 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marketflow.llm.common import PrefixHashes, blank_words, scrambled, stored, with_columns
@@ -37,7 +37,7 @@ BANDS, ROWS = 64, 6
 BATCH, BATCHES = 16, 8
 MISS = 1e-6
 SMALL = 16
-LEVELS = 3
+BITS = 1024
 
 _RNG = np.random.default_rng(6)
 _FLIP = _RNG.integers(0, 1 << 32, BANDS * ROWS, dtype=np.uint32)
@@ -107,10 +107,11 @@ def features(docs: DataFrame) -> DataFrame:
         return run
 
     return with_columns(
-        docs.select("doc_id", "text"),
+        docs,
         {"n_shingles": pa.int64(), "set_key": pa.binary(), "bands": pa.list_(pa.int64()), "signature": pa.binary()},
         {"n_shingles": "long", "set_key": "binary", "bands": "array<long>", "signature": "binary"},
         make,
+        ["doc_id"],
     )
 
 
@@ -185,13 +186,18 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
 
 def _buckets(rows: DataFrame, small: int) -> DataFrame:
-    """Rows (bucket, node) of buckets with two nodes or more, with their size and smallest node."""
-    shared = rows.groupBy("bucket").agg(F.count("*").alias("size"), F.min("node").alias("first")).where("size > 1")
+    """Rows (bucket, node) of buckets with two nodes or more, with one of them as the bucket's first.
+
+    The first is drawn by hash, so a node that is in many large buckets meets many different ones.
+    """
+    draw = F.min(F.struct(F.xxhash64("bucket", "node"), "node"))["node"]
+    shared = rows.groupBy("bucket").agg(F.count("*").alias("size"), draw.alias("first")).where("size > 1")
     return rows.join(shared, "bucket").withColumn("large", F.col("size") > small)
 
 
 def _candidates(shared: DataFrame) -> DataFrame:
-    star = shared.where(F.col("node") != F.col("first")).select(F.col("first").alias("a"), F.col("node").alias("b"))
+    ends = F.least("first", "node").alias("a"), F.greatest("first", "node").alias("b")
+    star = shared.where(F.col("node") != F.col("first")).select(*ends)
     few = shared.where(~F.col("large"))
     x, y = few.alias("x"), few.alias("y")
     inside = x.join(y, (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.node") < F.col("y.node")))
@@ -206,49 +212,70 @@ def _open(shared: DataFrame, joined: DataFrame) -> DataFrame:
     return rows.join(several.select("bucket"), "bucket")
 
 
-def links_of(docs: DataFrame, found: DataFrame, small: int = SMALL, levels: int = LEVELS) -> tuple[DataFrame, DataFrame]:
-    """Verified links between nodes, and the components they make. `found` holds the stored features of `docs`."""
-    known = found.where(F.col("doc_id").isNotNull() & F.col("set_key").isNotNull())
-    first = known.groupBy("set_key").agg(F.min("doc_id").alias("node"))
-    nodes = stored(
-        known.join(first, "set_key").where(F.col("doc_id") == F.col("node"))
-        .groupBy("set_key", "node").agg(F.first("signature").alias("signature"), F.first("bands").alias("bands"))
-    )
-    texts = docs.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull()).select(F.col("doc_id").alias("node"), "text")
+def _bitmaps(nodes: DataFrame, texts: DataFrame) -> DataFrame:
+    """(node, n, bits): the size of each node's set and a bitmap of its shingles, BITS bits in longs."""
+
+    def make():
+        def run(found):
+            out = {"n": [], "bits": []}
+            for text in found:
+                shingles = shingle_hashes(text)
+                bits = np.zeros(BITS, np.uint8)
+                bits[(shingles & np.uint64(BITS - 1)).astype(np.int64)] = 1
+                out["n"].append(len(shingles))
+                out["bits"].append(np.packbits(bits).view(np.int64))
+            return out
+
+        return run
+
+    return with_columns(
+        texts.join(nodes, "node"), {"n": pa.int64(), "bits": pa.list_(pa.int64())}, {"n": "long", "bits": "array<long>"}, make, ["node"]
+    )
+
+
+def _across(rows: DataFrame, bitmaps: DataFrame) -> DataFrame:
+    """Pairs of nodes of different components in one bucket whose bitmaps allow a link.
+
+    Each bit that only one of the two has stands for a shingle at least that the other lacks.
+    """
+    mapped = rows.join(bitmaps, "node")
+    x, y = mapped.alias("x"), mapped.alias("y")
+
+    def lacking(a: str, b: str) -> Column:
+        return sum((F.bit_count(F.col(f"{a}.bits")[i].bitwiseAND(F.bitwise_not(F.col(f"{b}.bits")[i]))) for i in range(BITS // 64)), F.lit(0))
+
+    most = F.least(F.col("x.n") - lacking("x", "y"), F.col("y.n") - lacking("y", "x"))
+    may = (100 + 75) * most >= 75 * (F.col("x.n") + F.col("y.n"))
+    pairs = x.join(y, (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.node") < F.col("y.node"))
+                   & (F.col("x.component") != F.col("y.component")) & may)
+    return pairs.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
+
+
+def links_of(docs: DataFrame, nodes: DataFrame, small: int = SMALL) -> tuple[DataFrame, DataFrame]:
+    """Verified links between nodes, and the components they make. `nodes`: (node, bands, signature) of each set."""
     shared = stored(_buckets(nodes.select(F.explode("bands").alias("bucket"), "node"), small))
-    links = joined = None
-    for level in range(levels + 1):
-        pairs = _candidates(shared)
-        new = verified(stored(plausible(pairs, nodes)), texts)
-        links = stored(new if links is None else links.union(new).distinct())
-        joined = stored(components(links))
-        rest = _open(shared, joined)
-        if level == levels or rest.isEmpty():
-            break
-        rest = stored(rest)
-        x, y = rest.alias("x"), rest.alias("y")
-        two = x.join(y, (F.col("x.node") == F.col("y.node")) & (F.col("x.bucket") < F.col("y.bucket")))
-        finer = two.select(F.xxhash64("x.bucket", "y.bucket").alias("bucket"), F.col("x.node").alias("node"))
-        shared = stored(_buckets(finer, small))
-    else:
-        rest = None
-    if rest is not None and level == levels and not rest.isEmpty():
-        rest = stored(rest)
-        x, y = rest.alias("x"), rest.alias("y")
-        across = x.join(y, (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.node") < F.col("y.node"))
-                        & (F.col("x.component") != F.col("y.component")))
-        pairs = across.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
-        links = stored(links.union(verified(stored(plausible(pairs, nodes)), texts)).distinct())
+    meeting = shared.select("node").distinct()
+    texts = docs.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull()).select(F.col("doc_id").alias("node"), "text")
+    texts = stored(texts.join(meeting, "node"))
+    links = stored(verified(stored(plausible(_candidates(shared), nodes)), texts))
+    joined = stored(components(links))
+    rest = stored(_open(shared, joined))
+    if not rest.isEmpty():
+        bitmaps = stored(_bitmaps(rest.select("node").distinct(), texts))
+        pairs = stored(plausible(_across(rest, bitmaps), nodes))
+        links = stored(links.union(verified(pairs, texts)).distinct())
         joined = stored(components(links))
     return links, joined
 
 
-def near_duplicates(docs: DataFrame, small: int = SMALL, levels: int = LEVELS) -> DataFrame:
+def near_duplicates(docs: DataFrame, small: int = SMALL) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for each row of `docs`."""
     found = stored(features(docs.select(F.col("doc_id").cast("long"), "text")))
     known = found.where(F.col("doc_id").isNotNull() & F.col("set_key").isNotNull())
     first = known.groupBy("set_key").agg(F.min("doc_id").alias("node"))
-    _, joined = links_of(docs, found, small, levels)
+    nodes = known.join(first, "set_key").where(F.col("doc_id") == F.col("node"))
+    nodes = nodes.select("node", "bands", "signature").dropDuplicates(["node"])
+    _, joined = links_of(docs, nodes, small)
     home = first.join(joined, "node", "left").select("set_key", F.coalesce("component", "node").alias("component_id"))
     rows = found.select("doc_id", "n_shingles", "set_key").alias("r").join(home.alias("h"), "set_key", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))

@@ -42,7 +42,7 @@ def op4_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, benchmark = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
-    return decontaminate.digest(decontaminate.scan(docs.select("doc_id", "text"), benchmark))
+    return decontaminate.digest(decontaminate.scan(docs, benchmark, keep=["doc_id"]))
 
 
 def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:

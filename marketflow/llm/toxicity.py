@@ -145,7 +145,7 @@ def train(docs: DataFrame, labels: DataFrame, size: int = SAMPLE) -> Machine | N
     def make():
         return lambda texts: {"terms": [terms(t) for t in texts]}
 
-    rows = with_columns(sample, {"terms": pa.list_(pa.int32())}, {"terms": "array<int>"}, make)
+    rows = with_columns(sample, {"terms": pa.list_(pa.int32())}, {"terms": "array<int>"}, make, ["doc_id", "toxic"])
     table = rows.select("doc_id", "toxic", "terms").toArrow()
     found = sorted(
         zip(table.column("doc_id").to_pylist(), table.column("toxic").to_pylist(),
@@ -155,8 +155,8 @@ def train(docs: DataFrame, labels: DataFrame, size: int = SAMPLE) -> Machine | N
     return fit([r[2] for r in found], np.array([r[1] for r in found], np.float64))
 
 
-def scored(docs: DataFrame, machine: Machine | None, cut: float = CUT) -> DataFrame:
-    """`docs` with score and predicted."""
+def scored(docs: DataFrame, machine: Machine | None, cut: float = CUT, keep: list[str] | None = None) -> DataFrame:
+    """`docs` (or its columns in `keep`) with score and predicted."""
     held = docs.sparkSession.sparkContext.broadcast(machine)
 
     def make():
@@ -169,7 +169,7 @@ def scored(docs: DataFrame, machine: Machine | None, cut: float = CUT) -> DataFr
         return run
 
     return with_columns(
-        docs, {"score": pa.float64(), "predicted": pa.int32()}, {"score": "double", "predicted": "int"}, make
+        docs, {"score": pa.float64(), "predicted": pa.int32()}, {"score": "double", "predicted": "int"}, make, keep
     )
 
 
@@ -177,6 +177,6 @@ def predictions(docs: DataFrame, labels: DataFrame, size: int = SAMPLE) -> DataF
     """One row per document; learned from labels of rows whose crc32(doc_id) mod 4 is not 2."""
     learn = remainder(F.col("doc_id"), 4) != 2
     machine = train(docs.where(learn), labels.where(learn), size)
-    out = scored(docs.select("doc_id", "text"), machine)
+    out = scored(docs, machine, keep=["doc_id"])
     held = F.coalesce(remainder(F.col("doc_id"), 4) == 2, F.lit(False))
     return out.select("doc_id", held.alias("held_out"), "score", "predicted")
