@@ -238,7 +238,7 @@ def _across(rows: DataFrame, bitmaps: DataFrame) -> DataFrame:
 
     Each bit that only one of the two has stands for a shingle at least that the other lacks.
     """
-    mapped = rows.join(bitmaps, "node")
+    mapped = stored(rows.join(bitmaps, "node"))
     x, y = mapped.alias("x"), mapped.alias("y")
 
     def lacking(a: str, b: str) -> Column:
