@@ -63,6 +63,11 @@ class PrefixHashes:
         """Hashes of the slices [start, end), the same wherever a slice stands."""
         return (self.sums[end] - self.sums[start]) * PrefixHashes._inverse[start]
 
+    def every(self, length: int) -> np.ndarray:
+        """Hashes of all slices of one length."""
+        n = len(self.sums) - length
+        return (self.sums[length:] - self.sums[:n]) * PrefixHashes._inverse[:n]
+
 
 def shared_folder(spark: SparkSession) -> str:
     """A new folder below the one that spark.checkpoint.dir names."""

@@ -38,8 +38,8 @@ from marketflow.llm.suffixes import Text
 LENGTH = 50
 GRAM = 24
 CROWD = 64
-CHUNK = 2 << 20
-FLUSH = 1 << 20  # anchors or strings that a task holds before it sends them
+CHUNK = 1 << 20
+FLUSH = 1 << 19  # anchors or strings that a task holds before it sends them
 BUCKET_BYTES = 64 << 20  # text per bucket
 LOW48 = U((1 << 48) - 1)
 SETTLED, CONTESTED, CROWDED = 0, 1, 2
@@ -90,20 +90,20 @@ def anchors(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> tuple[np.nd
     if n < LENGTH:
         return tuple(np.zeros(0, t) for t in (np.uint64, np.uint64, np.int64, np.int64, np.int64, np.int64))
     prefix = PrefixHashes(data)
-    h = scrambled(prefix.of(np.arange(n - GRAM + 1), np.arange(GRAM, n + 1))) | U(1)
-    piece = np.repeat(np.arange(len(begin)), end - begin)
+    h = scrambled(prefix.every(GRAM)) | U(1)
     least = _slide(h, grams, np.minimum)
-    start = np.arange(n - LENGTH + 1)
-    least[end[piece[start]] - start < LENGTH] = 0  # no string of one document starts here
+    for a, b in zip(begin.tolist(), end.tolist(), strict=True):
+        least[max(a, b - LENGTH + 1) : b] = 0  # no string of one document starts here
     edge = np.zeros(grams, np.uint64)
     best = _slide(np.concatenate((edge[1:], least, edge[1:])), grams, np.maximum)
     p = np.flatnonzero(best[: len(h)] == h)
-    own, at = h[p], piece[p]
-    low, high = np.maximum(begin[at], p - grams + 1), np.minimum(p, end[at] - LENGTH)
+    own, at = h[p], np.searchsorted(end, p, side="right")
     around = np.concatenate((edge, h, edge))
-    for k in range(grams - 1, 0, -1):
-        low = np.where(around[p + grams - k] < own, np.maximum(low, p - k + 1), low)
-        high = np.where(around[p + grams + k] < own, np.minimum(high, p + k - grams), high)
+    left, right = np.full(len(p), grams - 1, np.int64), np.full(len(p), grams - 1, np.int64)
+    for k in range(grams - 1, 0, -1):  # grams to the left and right that are not less
+        np.putmask(left, around[p + (grams - k)] < own, k - 1)
+        np.putmask(right, around[p + (grams + k)] < own, k - 1)
+    low, high = np.maximum(begin[at], p - left), np.minimum(p + right - grams + 1, end[at] - LENGTH)
     shape = (p - low).astype(np.uint64) * U(64) + (high - low).astype(np.uint64)
     context = scrambled(prefix.of(low, high + LENGTH) + scrambled(shape + U(1)))
     return own, context, at, low, high - low + 1, p
@@ -154,7 +154,11 @@ def _starts(*keys: np.ndarray) -> np.ndarray:
 
 def settle(h, c, doc) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Order by (h, c, doc); in it: first of h, first of (h, c), whether an earlier document has (h, c), contexts of h."""
-    order = np.lexsort((doc, c, h))
+    order = np.argsort(h, kind="stable")
+    same = h[order[1:]] == h[order[:-1]]
+    tied = np.flatnonzero(np.append(same, False) | np.append(False, same)) if len(h) else order
+    some = order[tied]
+    order[tied] = some[np.lexsort((doc[some], c[some], h[some]))]
     h, c, doc = h[order], c[order], doc[order]
     new_h, new_c = _starts(h), _starts(h, c)
     owner = doc[np.flatnonzero(new_c)][np.cumsum(new_c) - 1] if len(doc) else doc

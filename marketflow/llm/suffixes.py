@@ -41,31 +41,48 @@ class Text:
         sizes = (a_end - a <= b_end - b) if or_equal else (a_end - a < b_end - b)
         return np.where(ended, sizes, smaller)
 
+    def _heads(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """The first eight bytes of each suffix as one number that sorts like them; ended suffixes are filled with zeros."""
+        heads, last = np.zeros(len(start), np.uint64), len(self.data) - 1
+        for k in range(8):
+            byte = np.where(start + k < end, self.data[np.minimum(start + k, last)], 0)
+            heads = (heads << np.uint64(8)) | byte.astype(np.uint64)
+        return heads
+
     def sort(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        """Order of the suffixes start:end, by merge sort; all merges of one width are made together.
+        """Order of the suffixes start:end, by merge sort inside groups of equal first bytes.
 
-        An element's place in a merged run is its own index plus its rank in the sibling run, found by binary search.
+        All merges of one width are made together: an element's place in a merged run is its own index plus its rank in
+        the sibling run, found by binary search.
         """
-        order, n, width = np.arange(len(start)), len(start), 1
-        while width < n:
-            place = np.arange(n)
-            inside = place % (2 * width)
-            left = inside < width
-            base = place - inside
+        heads = self._heads(start, end)
+        order = np.argsort(heads, kind="stable")
+        if not len(order):
+            return order
+        new = np.append(True, heads[order[1:]] != heads[order[:-1]])
+        first = np.flatnonzero(new)
+        size = np.diff(np.append(first, len(order)))
+        width = 1
+        while (large := size > width).any():
+            place = np.flatnonzero(np.repeat(large, size))
+            group = np.repeat(first[large], size[large])
+            stop = group + np.repeat(size[large], size[large])
+            inside = (place - group) % (2 * width)
+            left, base = inside < width, place - inside
             # the sibling run of each element, and the element's rank in it
-            low = np.where(left, np.minimum(base + width, n), base)
-            high = np.where(left, np.minimum(base + 2 * width, n), np.minimum(base + width, n))
-            first = low.copy()
+            low = np.where(left, np.minimum(base + width, stop), base)
+            high = np.where(left, np.minimum(base + 2 * width, stop), np.minimum(base + width, stop))
+            begin = low.copy()
             while len(at := np.flatnonzero(low < high)):
                 mid = (low[at] + high[at]) >> 1
-                x, y = order[mid], order[at]
+                x, y = order[mid], order[place[at]]
                 go = np.zeros(len(at), bool)
                 for side, or_equal in ((left[at], False), (~left[at], True)):
                     k = np.flatnonzero(side)
                     go[k] = self.before(start[x[k]], end[x[k]], start[y[k]], end[y[k]], or_equal)
                 low[at], high[at] = np.where(go, mid + 1, low[at]), np.where(go, high[at], mid)
-            merged = np.empty_like(order)
+            merged = order.copy()
             own = np.where(left, inside, inside - width)
-            merged[base + own + low - first] = order
+            merged[base + own + low - begin] = order[place]
             order, width = merged, 2 * width
         return order
