@@ -104,7 +104,10 @@ def hour_of(ts: Column | str) -> Column:
 
 
 def month_key(ts: Column | str) -> Column:
-    return F.date_format(ts, "yyyyMM")
+    """UTC month as yyyyMM, taken from the epoch so that the session time zone does not matter."""
+    ts = F.col(ts) if isinstance(ts, str) else ts
+    day = F.date_from_unix_date(F.floor(F.unix_seconds(ts.cast("timestamp")) / 86400).cast("int"))
+    return F.lpad((F.year(day) * 100 + F.month(day)).cast("string"), 6, "0")
 
 
 def rate(count: Column, first: Column, last: Column) -> Column:

@@ -48,8 +48,8 @@ def latest_by_condition(markets: DataFrame, *columns: str) -> DataFrame:
 
 
 def token_map(markets: DataFrame) -> DataFrame:
-    """Token → condition and market, from the newest version of every market."""
-    tokens = latest_markets(markets).select(
+    """Token → condition and market, from the newest version that lists the token; older tokens are not forgotten."""
+    tokens = markets.select(
         F.explode("clob_token_ids").alias("token_id"), "condition_id", "market_id", "updated_at"
     )
     newest = F.max(F.struct("updated_at", "market_id", "condition_id")).alias("_newest")

@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 # Runtime settings every job relies on. Shuffle width is left to the cluster and to adaptive execution.
 RUNTIME_CONF = {
     "spark.sql.session.timeZone": "UTC",
+    # A message that repeats a key counts with the last value.
+    "spark.sql.variant.allowDuplicateKeys": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",

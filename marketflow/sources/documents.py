@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from marketflow import schemas
 
@@ -14,8 +15,9 @@ def _string_list(col: str) -> Column:
 
 
 def _iso_time(col: Column | str) -> Column:
-    """ISO date or date-time, null when it is not one."""
-    return F.try_to_timestamp(F.col(col) if isinstance(col, str) else col)
+    """ISO date or date-time, null when it is not one; a time or a year alone is none."""
+    text = F.col(col) if isinstance(col, str) else col
+    return F.when(text.rlike(r"^\s*\d{4}-\d{2}-\d{2}"), F.try_to_timestamp(text))
 
 
 def _flag(col: str) -> Column:
@@ -119,17 +121,33 @@ def transform_rest_books(raw: DataFrame, now: Column | None = None) -> DataFrame
     )
 
 
-def read_markets(spark: SparkSession, path: str) -> DataFrame:
-    return transform_markets(spark.read.schema(schemas.MARKET_DOC).json(path))
+def _parsed(spark: SparkSession, path: str, schema: str, pages: bool) -> DataFrame:
+    """(file, value, found): every line, or with `pages` every file, with its documents; null if it is no JSON."""
+    texts = spark.read.text(path, wholetext=pages).withColumn("file", F.input_file_name()).filter(F.trim("value") != "")
+    return texts.withColumn("found", F.from_json("value", T.ArrayType(T.StructType.fromDDL(schema))))
 
 
-def read_events(spark: SparkSession, path: str) -> DataFrame:
-    return transform_events(spark.read.schema(schemas.EVENT_DOC).json(path))
+def _readable(spark: SparkSession, path: str, schema: str, pages: bool) -> DataFrame:
+    return _parsed(spark, path, schema, pages).select(F.inline("found"))
 
 
-def read_rest_trades(spark: SparkSession, path: str) -> DataFrame:
-    return transform_rest_trades(spark.read.schema(schemas.TRADE_DOC).json(path))
+def read_rejected(spark: SparkSession, path: str, schema: str, pages: bool = False) -> DataFrame:
+    """(file, text) of what the readers below leave out: lines, or with `pages` whole files, that are no document."""
+    return _parsed(spark, path, schema, pages).filter(F.col("found").isNull()).select("file", F.col("value").alias("text"))
 
 
-def read_rest_books(spark: SparkSession, path: str) -> DataFrame:
-    return transform_rest_books(spark.read.schema(schemas.BOOK_DOC).json(path))
+def read_markets(spark: SparkSession, path: str, pages: bool = False) -> DataFrame:
+    """Documents by line, or with `pages` one JSON page (object or array) per file."""
+    return transform_markets(_readable(spark, path, schemas.MARKET_DOC, pages))
+
+
+def read_events(spark: SparkSession, path: str, pages: bool = False) -> DataFrame:
+    return transform_events(_readable(spark, path, schemas.EVENT_DOC, pages))
+
+
+def read_rest_trades(spark: SparkSession, path: str, pages: bool = False) -> DataFrame:
+    return transform_rest_trades(_readable(spark, path, schemas.TRADE_DOC, pages))
+
+
+def read_rest_books(spark: SparkSession, path: str, pages: bool = False) -> DataFrame:
+    return transform_rest_books(_readable(spark, path, schemas.BOOK_DOC, pages))

@@ -7,12 +7,13 @@ in overwrite mode, so a repeated batch replaces itself and no other.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from marketflow.functions.metrics import latency_ms, moment, month_key
 from marketflow.operators.dimension import latest_markets
+from marketflow.operators.feed import SIDES
 from marketflow.schemas import DEFAULTS, TABLES
 
 # Queries select by condition and token, so files are clustered by them and row-group statistics prune.
@@ -87,7 +88,14 @@ def prepare_levels(df: DataFrame) -> DataFrame:
 
 
 def write_trades(df: DataFrame, root: str, writer: str = "load", batch_id: int = 0, cluster: bool = True) -> None:
-    _write(prepare_trades(df), root, "trades_raw", writer, batch_id, cluster)
+    """Rows without a time or with a side outside the domain go to `rejected_trades`, under the same batch."""
+    seen, rows = Observation(), prepare_trades(df)
+    unfit = F.col("exchange_ts").isNull() | F.col("side").isNull() | ~F.col("side").isin(*SIDES)
+    counted = rows.observe(seen, F.count_if(unfit).alias("unfit"))
+    _write(counted.filter(~unfit), root, "trades_raw", writer, batch_id, cluster)
+    if seen.get["unfit"]:
+        bad = rows.filter(unfit).write.mode("overwrite")
+        bad.parquet(f"{root}/rejected_trades/writer={writer}/batch_id={batch_id}")
 
 
 def write_levels(df: DataFrame, root: str, writer: str = "load", batch_id: int = 0, cluster: bool = True) -> None:

@@ -41,6 +41,8 @@ class IngestStats(StreamingQueryListener):
     """Received and written counts; a line is logged at most every ten seconds."""
 
     def __init__(self) -> None:
+        self.query_id: str | None = None  # set when the query has started; other queries are not counted
+        self._early: dict[str, list] = {}
         self.totals = dict.fromkeys(
             ("events_received", "trades_received", "books_received", "trades_written", "levels_written", "rejected"), 0
         )
@@ -52,13 +54,26 @@ class IngestStats(StreamingQueryListener):
             for name, n in counts.items():
                 self.totals[name] += n or 0
 
+    def _received(self, query_id: str, counts: dict) -> None:
+        if self.query_id is None:
+            self._early.setdefault(query_id, []).append(counts)
+        elif query_id == self.query_id:
+            self.add(counts)
+
+    def follow(self, query_id: str) -> None:
+        """Count this query only, with the batches it may have finished already."""
+        self.query_id = query_id
+        for counts in self._early.pop(query_id, []):
+            self.add(counts)
+        self._early.clear()
+
     def onQueryStarted(self, event) -> None:
         pass
 
     def onQueryProgress(self, event) -> None:
         received = event.progress.observedMetrics.get("received")
         if received is not None:
-            self.add(received.asDict())
+            self._received(str(event.progress.id), received.asDict())
         if time.monotonic() - self._reported >= REPORT_SECONDS:
             self._reported = time.monotonic()
             log.info("ingest %s", self.totals)
@@ -150,6 +165,7 @@ def start_ingest(spark: SparkSession, cfg: IngestConfig, stats: IngestStats | No
     writer = events.writeStream.foreachBatch(batches).option("checkpointLocation", cfg.checkpoint)
     writer = writer.trigger(availableNow=True) if cfg.available_now else writer.trigger(processingTime=cfg.flush)
     query = writer.start()
+    stats.follow(str(query.id))
     batches.writer_id = str(query.id)
     batches.writer.set()
     return query

@@ -261,3 +261,35 @@ def test_health_on_empty_tables(spark, tables):
     approx = health.token_coverage(tables.trades, tables.levels, tables.markets, tables.as_of, "30 DAYS", exact=False).first()
     exact = health.token_coverage(tables.trades, tables.levels, tables.markets, tables.as_of, "30 DAYS").first()
     assert approx.recent_tokens == pytest.approx(exact.recent_tokens, rel=0.05)
+
+
+def test_running_sums_keep_null_keys_and_times(spark):
+    data = [("a", 1, 5), ("a", None, 7), (None, 2, 11), (None, None, 13), (None, 2, 17), ("0", 3, 19)]
+    df = spark.createDataFrame(data, "k string, s long, v long").selectExpr("k", "timestamp_seconds(s) AS ts", "v")
+    w = W.partitionBy("k").orderBy("ts")
+    plain = df.select("k", "ts", F.sum("v").over(w).cast("double").alias("c"))
+    assert rows(running.cumulative(df, {"c": F.col("v")}, ["k"], "ts")) == rows(plain)
+    w = W.partitionBy("k").orderBy("ts", "v").rowsBetween(W.unboundedPreceding, 0)
+    plain = df.select("k", "ts", "v", F.sum("v").over(w).cast("double").alias("c"))
+    assert rows(running.running_rows(df, {"c": F.col("v")}, ["k"], ["ts", "v"])) == rows(plain)
+    plain = df.select("k", "ts", "v", F.row_number().over(W.partitionBy("k").orderBy("ts", "v")).cast("long").alias("position"))
+    assert rows(running.positions(df, ["k"], ["ts", "v"])) == rows(plain)
+
+
+def test_month_key_is_the_same_in_every_zone(spark):
+    df = spark.createDataFrame([(1706745599,), (1706745600,), (-1,)], "s long").selectExpr("timestamp_seconds(s) AS ts")
+    try:
+        for zone in ("UTC", "America/New_York", "Asia/Tokyo"):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            assert [r[0] for r in df.select(m.month_key("ts")).collect()] == ["202401", "202402", "196912"]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_tokens_of_older_versions_are_not_forgotten(spark):
+    versions = "market_id string, condition_id string, clob_token_ids array<string>, updated_at timestamp"
+    df = spark.sql("SELECT 'm' AS market_id, 'c' AS condition_id, array('t1') AS clob_token_ids, timestamp '2024-01-01' AS updated_at "
+                   "UNION ALL SELECT 'm', 'c2', array('t2'), timestamp '2024-01-02'")
+    assert df.columns == [c.split()[0] for c in versions.split(", ")]
+    found = {r.token_id: r.condition_id for r in dimension.token_map(df).collect()}
+    assert found == {"t1": "c", "t2": "c2"}

@@ -152,3 +152,24 @@ def test_compaction_keeps_every_trade(spark, tables_fixture, tmp_path):
         tables.write_trades(tables_fixture.trades, root, "w", batch, cluster=False)
     tables.compact(spark, root, target, "trades_raw")
     assert tables.load(spark, target, "trades_raw").count() == 3 * tables_fixture.trades.count()
+
+
+def test_unreadable_documents_are_set_apart(spark, tmp_path):
+    (tmp_path / "d.json").write_text('{"id": "1", "endDate": "12:30"}\n[\n{"id": "2", "endDate": "2024-05-06"}\n{"id": \n]\n')
+    found = {r.market_id: r.end_date for r in documents.read_markets(spark, str(tmp_path)).collect()}
+    assert set(found) == {"1", "2"} and found["1"] is None and found["2"] is not None
+    rejected = documents.read_rejected(spark, str(tmp_path), schemas.MARKET_DOC)
+    assert sorted(r.text.strip() for r in rejected.collect()) == ["[", "]", '{"id":']
+
+
+def test_pages_of_documents(spark, tmp_path):
+    (tmp_path / "page.json").write_text('[\n{"id": "1"},\n{"id": "2"}\n]\n')
+    assert sorted(r.market_id for r in documents.read_markets(spark, str(tmp_path), pages=True).collect()) == ["1", "2"]
+
+
+def test_trades_outside_the_domain_are_set_apart(spark, tmp_path):
+    df = spark.sql("SELECT timestamp '2024-01-01' AS exchange_ts, 'c' AS condition_id, side FROM VALUES ('BUY'), ('LEFT') AS t(side) "
+                   "UNION ALL SELECT CAST(NULL AS TIMESTAMP), 'c', 'SELL'")
+    tables.write_trades(df, str(tmp_path))
+    assert [r.side for r in tables.load(spark, str(tmp_path), "trades_raw").collect()] == ["BUY"]
+    assert sorted(r.side for r in spark.read.parquet(f"{tmp_path}/rejected_trades").collect()) == ["LEFT", "SELL"]
