@@ -17,6 +17,7 @@ from marketflow.session import ensure_checkpoint_dir
 _ALNUM = bytes(
     b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256)
 )
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 U = np.uint64
 BASE = 0x9E3779B97F4A7C15
 BASE_INVERSE = pow(BASE, -1, 1 << 64)
@@ -76,9 +77,20 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def stored(df: DataFrame) -> DataFrame:
-    """Write `df` once as Parquet in the shared folder and read it back; lost executors cannot lose it."""
+    """Write `df` once as Parquet in the shared folder and read it back; lost executors cannot lose it.
+
+    The shuffle files of the write are removed at its end, as nothing reads them again.
+    """
     spark, path = df.sparkSession, shared_folder(df.sparkSession)
-    df.write.parquet(path)
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(CLEANUP)
+        else:
+            spark.conf.set(CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -39,7 +39,11 @@ def _lines(docs: DataFrame) -> DataFrame:
 
 
 def _words(line: Column) -> Column:
-    return F.split(F.trim(F.regexp_replace(F.lower(line), BLANKS, " ")), " ")
+    """Words between blanks; the pattern is only applied to lines with other blanks than single spaces."""
+    low, odd = F.lower(line), F.contains(line, F.lit("  "))
+    for blank in "\t\n\v\f\r":
+        odd = odd | F.contains(line, F.lit(blank))
+    return F.split(F.trim(F.when(odd, F.regexp_replace(low, BLANKS, " ")).otherwise(low)), " ")
 
 
 def _bucket(word: Column) -> Column:
@@ -48,7 +52,7 @@ def _bucket(word: Column) -> Column:
 
 def word_ranks(docs: DataFrame) -> list[int]:
     """Rank of each class of words by frequency over all texts, rarest first: BUCKETS numbers, however large the input."""
-    words = docs.select(F.explode(_words(F.col("text"))).alias("w"))
+    words = docs.select(F.explode(F.split("text", "\n")).alias("line")).select(F.explode(_words(F.col("line"))).alias("w"))
     counts = {r.b: r.n for r in words.groupBy(_bucket(F.col("w")).alias("b")).agg(F.count("*").alias("n")).collect()}
     order = sorted(range(BUCKETS), key=lambda b: (counts.get(b, 0), b))
     ranks = [0] * BUCKETS
@@ -71,7 +75,7 @@ def _tokens(words: Column, ranks: list[int]) -> Column:
             rank = F.shiftleft(F.shiftright(F.least(*five), 48), 48)
             return rank.bitwiseOR(F.shiftrightunsigned(F.xxhash64(*five), 16))
 
-        return F.array_sort(F.array_distinct(F.transform(starts, one)))
+        return F.sort_array(F.array_distinct(F.transform(starts, one)))
 
     # the codes are bound once, as the single element of an array
     return F.element_at(F.transform(F.array(codes), shingles), 1)
@@ -100,16 +104,35 @@ def classes(docs: DataFrame, ranks: list[int]) -> DataFrame:
     )
 
 
-def _verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
+def _mates(first: DataFrame) -> DataFrame:
+    """(token, line, n, place, earliest) of each prefix shingle that several classes share, with the earliest of them."""
+    index = first.select("line.doc_id", "line.line_no", "n", F.posexplode("prefix").alias("place", "token"))
+    group = Window.partitionBy("token").orderBy("doc_id", "line_no")
+    so_far = group.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    fields = ["doc_id", "line_no", "n", "place"]
+    rows = index.withColumns({f"e_{c}": F.first(c).over(so_far) for c in fields} | {"follower": F.lead("n").over(group)})
+    shared = rows.where((F.col("doc_id") != F.col("e_doc_id")) | (F.col("line_no") != F.col("e_line_no")) | F.col("follower").isNotNull())
+    return shared.select(
+        "token", F.struct("doc_id", "line_no").alias("line"), "n", "place",
+        F.struct(F.struct(F.col("e_doc_id").alias("doc_id"), F.col("e_line_no").alias("line_no")).alias("line"),
+                 F.col("e_n").alias("n"), F.col("e_place").alias("place")).alias("earliest"),
+    )
+
+
+def _texts_of(wanted: DataFrame, docs: DataFrame) -> DataFrame:
+    """(at, line) of the lines (doc_id, line_no) in `wanted`; rows that repeat a doc_id give one row for each text."""
+    lists = wanted.groupBy("doc_id").agg(F.collect_set("line_no").alias("numbers"))
+    found = docs.select("doc_id", "text").join(lists, "doc_id")
+    lines = found.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "line"), "numbers")
+    kept = lines.where(F.array_contains("numbers", F.col("line_no")))
+    return kept.select(F.struct("doc_id", "line_no").alias("at"), "line").distinct()
+
+
+def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """The pairs (x, y) of lines, structs of doc_id and line_no, whose shingle sets reach the likeness."""
-    ends = pairs.select("x", "y", F.explode(F.array(F.struct(F.col("x").alias("at"), F.lit(1).alias("end")),
-                                                    F.struct(F.col("y").alias("at"), F.lit(2).alias("end")))).alias("e"))
-    wanted = ends.groupBy(F.col("e.at.doc_id").alias("doc_id"), F.col("e.at.line_no").alias("line_no")).agg(F.lit(1).alias("one"))
-    words = _words(F.col("line"))
     shingle = F.transform(F.sequence(F.lit(1), F.size("words") - WIDTH + 1), lambda i: F.array_join(F.slice("words", i, WIDTH), " "))
-    lines = _lines(docs).join(wanted, ["doc_id", "line_no"]).select("doc_id", "line_no", words.alias("words"))
-    sets = stored(lines.where(F.size("words") >= WIDTH).select(
-        F.struct("doc_id", "line_no").alias("at"), F.array_distinct(shingle).alias("set")).distinct())
+    words = texts.select("at", _words(F.col("line")).alias("words")).where(F.size("words") >= WIDTH)
+    sets = words.select("at", F.array_distinct(shingle).alias("set"))
     left = pairs.join(sets.select(F.col("at").alias("x"), F.col("set").alias("sx")), "x")
     both = left.join(sets.select(F.col("at").alias("y"), F.col("set").alias("sy")), "y")
     common = F.size(F.array_intersect("sx", "sy"))
@@ -121,28 +144,21 @@ def removed_lines(docs: DataFrame) -> DataFrame:
     """(doc_id, line_no) of every line that an earlier one makes superfluous."""
     ranks = word_ranks(docs)
     every = stored(classes(docs.select("doc_id", "text"), ranks))
-    first = every.groupBy("set_key").agg(
+    first = stored(every.groupBy("set_key").agg(
         F.min(F.struct("doc_id", "line_no")).alias("line"), F.first("n").alias("n"), F.first("prefix").alias("prefix")
-    )
-    index = first.select("line", "n", F.posexplode("prefix").alias("place", "token"))
-    group = Window.partitionBy("token").orderBy("line")
-    mates = index.withColumns({
-        "earliest": F.first(F.struct("line", "n", "place")).over(group.rowsBetween(Window.unboundedPreceding, Window.currentRow)),
-        "follower": F.lead("n").over(group),
-    })
-    mates = stored(mates.where((F.col("line") != F.col("earliest.line")) | F.col("follower").isNotNull()).drop("follower"))
-    near = mates.where(
-        (F.col("line") != F.col("earliest.line"))
-        & _possible(F.col("n"), F.col("place"), F.col("earliest.n"), F.col("earliest.place"))
-    )
+    ))
+    mates = stored(_mates(first))
+    later = mates.where(F.col("line") != F.col("earliest.line"))
+    near = later.where(_possible(F.col("n"), F.col("place"), F.col("earliest.n"), F.col("earliest.place")))
+    texts = stored(_texts_of(mates.select("line.doc_id", "line.line_no").distinct(), docs))
     pairs = near.select(F.col("line").alias("x"), F.col("earliest.line").alias("y")).distinct()
-    settled = stored(_verified(stored(pairs), docs))
-    open_rows = mates.where(F.col("line") != F.col("earliest.line")).join(settled.select(F.col("x").alias("line")).distinct(), "line", "left_anti")
+    settled = stored(_verified(stored(pairs), texts))
+    open_rows = later.join(settled.select(F.col("x").alias("line")).distinct(), "line", "left_anti")
     x, y = open_rows.alias("x"), mates.alias("y")
     other = x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("y.line") < F.col("x.line")) & (F.col("y.line") != F.col("x.earliest.line"))
                    & _possible(F.col("x.n"), F.col("x.place"), F.col("y.n"), F.col("y.place")))
     more = stored(other.select(F.col("x.line").alias("x"), F.col("y.line").alias("y")).distinct())
-    found = settled if more.isEmpty() else settled.union(_verified(more, docs))
+    found = settled if more.isEmpty() else settled.union(_verified(more, texts))
     gone = found.select(F.col("x").alias("line")).distinct().withColumn("gone", F.lit(True))
     verdict = first.select("set_key", "line").join(gone, "line", "left").select("set_key", "line", F.col("gone").isNotNull().alias("gone"))
     here = every.select("set_key", F.struct("doc_id", "line_no").alias("here"))
@@ -152,7 +168,7 @@ def removed_lines(docs: DataFrame) -> DataFrame:
 
 def _rebuilt(docs: DataFrame) -> DataFrame:
     """`docs` with __gone, the numbers of the removed lines, and __text, the text without them."""
-    gone = removed_lines(docs).groupBy("doc_id").agg(F.collect_list("line_no").alias("__gone"))
+    gone = stored(removed_lines(docs).groupBy("doc_id").agg(F.collect_list("line_no").alias("__gone")))
     joined = docs.drop("__gone", "__text").join(gone, "doc_id", "left").withColumn("__gone", F.coalesce("__gone", F.array().cast("array<int>")))
     lines = F.split("text", "\n")
     numbered = F.transform(lines, lambda line, i: F.struct(line.alias("line"), i.alias("i")))
