@@ -94,6 +94,17 @@ def stored(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def dropped(df: DataFrame) -> None:
+    """Delete the files of a table that `stored` wrote and nothing reads any more; files elsewhere are left alone."""
+    context = df.sparkSession.sparkContext
+    path_of = context._jvm.org.apache.hadoop.fs.Path
+    shared = path_of(context.getCheckpointDir()).toUri().getPath() + "/"
+    for folder in {name.rsplit("/", 1)[0] for name in df.inputFiles()}:
+        path = path_of(folder)
+        if path.toUri().getPath().startswith(shared):
+            path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def with_columns(
     docs: DataFrame, added: dict[str, pa.DataType], types: dict[str, str], make: Callable[[], Callable], keep: list[str] | None = None
 ) -> DataFrame:

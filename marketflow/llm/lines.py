@@ -25,7 +25,7 @@ import json
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from marketflow.llm.common import stored
+from marketflow.llm.common import dropped, stored
 
 WIDTH = 5
 SHARE = 75  # percent
@@ -148,6 +148,10 @@ def removed_lines(docs: DataFrame) -> DataFrame:
         F.min(F.struct("doc_id", "line_no")).alias("line"), F.first("n").alias("n"), F.first("prefix").alias("prefix")
     ))
     mates = stored(_mates(first))
+    members = stored(every.select("set_key", F.struct("doc_id", "line_no").alias("here")))
+    heads = stored(first.select("set_key", "line"))
+    dropped(every)  # the prefixes are the bulk of both tables and are not read again
+    dropped(first)
     later = mates.where(F.col("line") != F.col("earliest.line"))
     near = later.where(_possible(F.col("n"), F.col("place"), F.col("earliest.n"), F.col("earliest.place")))
     texts = stored(_texts_of(mates.select("line.doc_id", "line.line_no").distinct(), docs))
@@ -160,9 +164,8 @@ def removed_lines(docs: DataFrame) -> DataFrame:
     more = stored(other.select(F.col("x.line").alias("x"), F.col("y.line").alias("y")).distinct())
     found = settled if more.isEmpty() else settled.union(_verified(more, texts))
     gone = found.select(F.col("x").alias("line")).distinct().withColumn("gone", F.lit(True))
-    verdict = first.select("set_key", "line").join(gone, "line", "left").select("set_key", "line", F.col("gone").isNotNull().alias("gone"))
-    here = every.select("set_key", F.struct("doc_id", "line_no").alias("here"))
-    lost = here.join(verdict, "set_key").where(F.col("gone") | (F.col("here") != F.col("line")))
+    verdict = heads.join(gone, "line", "left").select("set_key", "line", F.col("gone").isNotNull().alias("gone"))
+    lost = members.join(verdict, "set_key").where(F.col("gone") | (F.col("here") != F.col("line")))
     return lost.select("here.doc_id", "here.line_no").distinct()
 
 

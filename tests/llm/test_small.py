@@ -1,5 +1,7 @@
 """Nulls, empty texts, ties, repeated rows, empty tables and clashing columns, against the plain versions."""
 
+from pathlib import Path
+
 import random
 from types import SimpleNamespace
 
@@ -330,3 +332,16 @@ def test_targets(spark):
     got = {r.skey: r.target for r in mixing.targets(sizes).collect()}
     # a and c stop at three times their size, d has nothing, b takes the rest
     assert got == {"a": 30.0, "b": 880.0, "c": 150.0, "d": 0.0}
+
+
+def test_dropped_tables_leave_the_input(spark, tmp_path):
+    from marketflow.llm.common import dropped, stored
+
+    source = str(tmp_path / "source")
+    spark.range(5).write.parquet(source)
+    kept, copy = spark.read.parquet(source), stored(spark.range(5))
+    files = [f.removeprefix("file://") for f in copy.inputFiles()]
+    assert files and all(Path(f).exists() for f in files)
+    dropped(copy)
+    dropped(kept)
+    assert not any(Path(f).exists() for f in files) and spark.read.parquet(source).count() == 5
