@@ -5,12 +5,13 @@ removed. A line is removed if an earlier line, by (doc_id, line number), has a J
 this is judged on the input, not on what is left. The join:
 
 1. Shingles are ordered by rarity. The frequencies of all words of the corpus are counted in BUCKETS hashed classes; a
-   shingle is as rare as its rarest word, which bounds its own frequency from above.
+   shingle is as rare as its first word, which bounds its own frequency from above.
 2. Lines with equal sets are one class from here on, known by its earliest line.
 3. Two lines of likeness t share a shingle among the first n - ceil(t n) + 1 of their order (prefix filter). Each class
    is compared with the earliest class that shares a prefix shingle, if their lengths and the places of the shingle
    in both allow the likeness (length and positional filter), and is verified on the lines themselves.
 4. A class without a verified earlier line is compared with all other earlier classes that share a prefix shingle.
+   Bitmaps of their shingles bound the likeness from above, and only pairs that may reach it leave the join.
 
 Hence no group is paired out: a group of many variants of a line is settled by its earliest line in step 3, and
 frequent shingles are not in prefixes. Null texts have no lines and stay null. Rows that repeat a doc_id are numbered
@@ -30,6 +31,7 @@ from marketflow.llm.common import dropped, stored
 WIDTH = 5
 SHARE = 75  # percent
 BUCKETS = 1 << 14
+BITS = 512
 BLANKS = r"[\x20\x09-\x0D]+"
 
 
@@ -38,6 +40,11 @@ def _lines(docs: DataFrame) -> DataFrame:
     return docs.where(F.col("doc_id").isNotNull()).select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
 
 
+def _bound(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """`df` with `value` as a column that is computed once: the optimizer copies no expression across a generator."""
+    return df.select("*", F.explode(F.array(value)).alias(name))
+
+
 def _words(line: Column) -> Column:
     """Words between blanks; the pattern is only applied to lines with other blanks than single spaces."""
     low, odd = F.lower(line), F.contains(line, F.lit("  "))
@@ -47,7 +54,7 @@ def _words(line: Column) -> Column:
 
 
 def _bucket(word: Column) -> Column:
-    return F.pmod(F.hash(word), F.lit(BUCKETS))
+    return F.hash(word).bitwiseAND(F.lit(BUCKETS - 1))
 
 
 def word_ranks(docs: DataFrame) -> list[int]:
@@ -61,24 +68,25 @@ def word_ranks(docs: DataFrame) -> list[int]:
     return ranks
 
 
-def _tokens(words: Column, ranks: list[int]) -> Column:
-    """Distinct shingles as 64-bit numbers, rarest first: 14 bits of rank, 48 bits of hash."""
-    table = F.from_json(F.lit(json.dumps(ranks)), "array<int>")
-    codes = F.transform(
-        words, lambda w: F.shiftleft(F.get(table, _bucket(w)).cast("long"), 48).bitwiseOR(F.shiftrightunsigned(F.xxhash64(w), 16))
-    )
-    starts = F.sequence(F.lit(0), F.size(words) - WIDTH)
+def _tokenized(lines: DataFrame, ranks: list[int]) -> DataFrame:
+    """`lines` with tokens for `line`, without lines of fewer than WIDTH words.
 
-    def shingles(c: Column) -> Column:
-        def one(i: Column) -> Column:
-            five = [F.get(c, i + k) for k in range(WIDTH)]
-            rank = F.shiftleft(F.shiftright(F.least(*five), 48), 48)
-            return rank.bitwiseOR(F.shiftrightunsigned(F.xxhash64(*five), 16))
+    The tokens are the distinct shingles as 64-bit numbers, rarest first: 14 bits of rank, 48 bits of hash.
+    """
+    table = F.from_json(F.lit(json.dumps([r << 48 for r in ranks])), "array<long>")
+    high, none = F.lit(-1 << 48), F.lit(0).cast("long")
+    code = lambda w: F.coalesce(F.get(table, _bucket(w)), none).bitwiseOR(F.shiftrightunsigned(F.xxhash64(w), 16))
+    passed = [c for c in lines.columns if c != "line"]
+    long_enough = _bound(lines, "words", _words(F.col("line"))).where(F.size("words") >= WIDTH)
+    coded = _bound(long_enough.select(*passed, "words"), "codes", F.transform("words", code)).select(*passed, "codes")
+    fives = F.arrays_zip(*[F.slice("codes", F.lit(k + 1), F.size("codes") - (WIDTH - 1)).alias(f"w{k}") for k in range(WIDTH)])
 
-        return F.sort_array(F.array_distinct(F.transform(starts, one)))
+    def token(five: Column) -> Column:
+        return F.coalesce(five["w0"].bitwiseAND(high), none).bitwiseOR(F.shiftrightunsigned(F.xxhash64(five), 16))
 
-    # the codes are bound once, as the single element of an array
-    return F.element_at(F.transform(F.array(codes), shingles), 1)
+    zipped = coded.select(*passed, fives.alias("fives"))
+    made = _bound(zipped, "tokens", F.sort_array(F.array_distinct(F.transform("fives", token))))
+    return made.select(*passed, "tokens")
 
 
 def _needed(n: Column) -> Column:
@@ -94,10 +102,8 @@ def _possible(n: Column, at: Column, m: Column, to: Column) -> Column:
 
 
 def classes(docs: DataFrame, ranks: list[int]) -> DataFrame:
-    """(set_key, doc_id, line_no, n, prefix) of each set of shingles, with its earliest line."""
-    words = _lines(docs).select("doc_id", "line_no", _words(F.col("line")).alias("words")).where(F.size("words") >= WIDTH)
-    sets = words.select("doc_id", "line_no", _tokens(F.col("words"), ranks).alias("tokens"))
-    return sets.select(
+    """(set_key, doc_id, line_no, n, prefix) of every line of WIDTH words or more; equal sets have equal keys."""
+    return _tokenized(_lines(docs), ranks).select(
         F.struct(F.xxhash64("tokens"), F.hash("tokens"), F.size("tokens")).alias("set_key"),
         "doc_id", "line_no", F.size("tokens").alias("n"),
         F.slice("tokens", F.lit(1), _needed(F.size("tokens"))).alias("prefix"),
@@ -106,17 +112,15 @@ def classes(docs: DataFrame, ranks: list[int]) -> DataFrame:
 
 def _mates(first: DataFrame) -> DataFrame:
     """(token, line, n, place, earliest) of each prefix shingle that several classes share, with the earliest of them."""
-    index = first.select("line.doc_id", "line.line_no", "n", F.posexplode("prefix").alias("place", "token"))
+    index = first.select("doc_id", "line_no", "n", F.posexplode("prefix").alias("place", "token"))
     group = Window.partitionBy("token").orderBy("doc_id", "line_no")
     so_far = group.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    fields = ["doc_id", "line_no", "n", "place"]
-    rows = index.withColumns({f"e_{c}": F.first(c).over(so_far) for c in fields} | {"follower": F.lead("n").over(group)})
-    shared = rows.where((F.col("doc_id") != F.col("e_doc_id")) | (F.col("line_no") != F.col("e_line_no")) | F.col("follower").isNotNull())
-    return shared.select(
-        "token", F.struct("doc_id", "line_no").alias("line"), "n", "place",
-        F.struct(F.struct(F.col("e_doc_id").alias("doc_id"), F.col("e_line_no").alias("line_no")).alias("line"),
-                 F.col("e_n").alias("n"), F.col("e_place").alias("place")).alias("earliest"),
-    )
+    line = F.struct("doc_id", "line_no")
+    rows = index.withColumns({
+        "earliest": F.first(F.struct(line.alias("line"), "n", "place")).over(so_far), "follower": F.lead("n").over(group)
+    })
+    shared = rows.where((line != F.col("earliest.line")) | F.col("follower").isNotNull())
+    return shared.select("token", line.alias("line"), "n", "place", "earliest")
 
 
 def _texts_of(wanted: DataFrame, docs: DataFrame) -> DataFrame:
@@ -128,41 +132,75 @@ def _texts_of(wanted: DataFrame, docs: DataFrame) -> DataFrame:
     return kept.select(F.struct("doc_id", "line_no").alias("at"), "line").distinct()
 
 
+def _shingles(line: Column) -> Column:
+    """Distinct shingles of a line as texts; none for a line of fewer words."""
+    def of(words: Column) -> Column:
+        starts = F.when(F.size(words) >= WIDTH, F.sequence(F.lit(1), F.size(words) - (WIDTH - 1)))
+        return F.array_distinct(F.transform(starts, lambda i: F.array_join(F.slice(words, i, WIDTH), " ")))
+
+    # the words are bound once, as the single element of an array
+    return F.element_at(F.transform(F.array(_words(line)), of), 1)
+
+
 def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """The pairs (x, y) of lines, structs of doc_id and line_no, whose shingle sets reach the likeness."""
-    shingle = F.transform(F.sequence(F.lit(1), F.size("words") - WIDTH + 1), lambda i: F.array_join(F.slice("words", i, WIDTH), " "))
-    words = texts.select("at", _words(F.col("line")).alias("words")).where(F.size("words") >= WIDTH)
-    sets = words.select("at", F.array_distinct(shingle).alias("set"))
-    left = pairs.join(sets.select(F.col("at").alias("x"), F.col("set").alias("sx")), "x")
-    both = left.join(sets.select(F.col("at").alias("y"), F.col("set").alias("sy")), "y")
-    common = F.size(F.array_intersect("sx", "sy"))
-    alike = 100 * common >= SHARE * (F.size("sx") + F.size("sy") - common)
-    return both.where(alike).select("x", "y")
+    left = pairs.join(texts.select(F.col("at").alias("x"), F.col("line").alias("tx")), "x")
+    both = left.join(texts.select(F.col("at").alias("y"), F.col("line").alias("ty")), "y")
+    sets = _bound(_bound(both, "sx", _shingles(F.col("tx"))), "sy", _shingles(F.col("ty"))).select("x", "y", "sx", "sy")
+    counted = _bound(sets, "common", F.size(F.array_intersect("sx", "sy")))
+    alike = 100 * F.col("common") >= SHARE * (F.size("sx") + F.size("sy") - F.col("common"))
+    return counted.where(alike).select("x", "y").distinct()
+
+
+def _bitmaps(texts: DataFrame, ranks: list[int]) -> DataFrame:
+    """(at, b0, b1, ...): the shingles of each line as BITS bits, in longs."""
+    tokens = _tokenized(texts, ranks).select("at", F.explode("tokens").alias("token"))
+    bit = tokens.select("at", F.shiftright("token", 6).bitwiseAND(F.lit(BITS // 64 - 1)).alias("k"),
+                        F.call_function("shiftleft", F.lit(1).cast("long"), F.col("token").bitwiseAND(F.lit(63)).cast("int")).alias("bit"))
+    return bit.groupBy("at").agg(*[F.bit_or(F.when(F.col("k") == k, F.col("bit")).otherwise(F.lit(0).cast("long"))).alias(f"b{k}") for k in range(BITS // 64)])
+
+
+def _others(open_rows: DataFrame, mates: DataFrame, bitmaps: DataFrame) -> DataFrame:
+    """Pairs (x, y) of an open line and an earlier one, not its earliest mate, whose bitmaps allow the likeness.
+
+    Each bit that only one of the two has stands for a shingle at least that the other lacks. Bitmaps of lines with
+    several texts (repeated doc_id) pair each with each.
+    """
+    met = mates.join(open_rows.select("token").distinct(), "token").select("token", F.col("line").alias("at"), "n", "place").distinct()
+    mapped = stored(met.join(bitmaps, "at"))
+    x = open_rows.select("token", F.col("line").alias("at"), "earliest.line").distinct().join(mapped, ["token", "at"]).alias("x")
+    y = mapped.alias("y")
+
+    def lacking(a: str, b: str) -> Column:
+        return sum((F.bit_count(F.col(f"{a}.b{k}").bitwiseAND(F.bitwise_not(F.col(f"{b}.b{k}")))) for k in range(BITS // 64)), F.lit(0))
+
+    n, m = F.col("x.n"), F.col("y.n")
+    most = F.least(n - lacking("x", "y"), m - lacking("y", "x"))
+    pairs = x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("y.at") < F.col("x.at")) & (F.col("y.at") != F.col("x.line"))
+                   & _possible(n, F.col("x.place"), m, F.col("y.place")) & ((100 + SHARE) * most >= SHARE * (n + m)))
+    return pairs.select(F.col("x.at").alias("x"), F.col("y.at").alias("y")).distinct()
 
 
 def removed_lines(docs: DataFrame) -> DataFrame:
     """(doc_id, line_no) of every line that an earlier one makes superfluous."""
     ranks = word_ranks(docs)
     every = stored(classes(docs.select("doc_id", "text"), ranks))
-    first = stored(every.groupBy("set_key").agg(
-        F.min(F.struct("doc_id", "line_no")).alias("line"), F.first("n").alias("n"), F.first("prefix").alias("prefix")
-    ))
-    mates = stored(_mates(first))
-    members = stored(every.select("set_key", F.struct("doc_id", "line_no").alias("here")))
-    heads = stored(first.select("set_key", "line"))
-    dropped(every)  # the prefixes are the bulk of both tables and are not read again
-    dropped(first)
+    here = F.struct("doc_id", "line_no")
+    heads = stored(every.groupBy("set_key").agg(F.min(here).alias("line")))
+    first = every.join(heads.select("set_key", "line.doc_id", "line.line_no"), ["set_key", "doc_id", "line_no"], "left_semi")
+    mates = stored(_mates(first).distinct())
+    members = stored(every.select("set_key", here.alias("here")))
+    dropped(every)  # the prefixes are its bulk and are not read again
     later = mates.where(F.col("line") != F.col("earliest.line"))
     near = later.where(_possible(F.col("n"), F.col("place"), F.col("earliest.n"), F.col("earliest.place")))
     texts = stored(_texts_of(mates.select("line.doc_id", "line.line_no").distinct(), docs))
     pairs = near.select(F.col("line").alias("x"), F.col("earliest.line").alias("y")).distinct()
-    settled = stored(_verified(stored(pairs), texts))
-    open_rows = later.join(settled.select(F.col("x").alias("line")).distinct(), "line", "left_anti")
-    x, y = open_rows.alias("x"), mates.alias("y")
-    other = x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("y.line") < F.col("x.line")) & (F.col("y.line") != F.col("x.earliest.line"))
-                   & _possible(F.col("x.n"), F.col("x.place"), F.col("y.n"), F.col("y.place")))
-    more = stored(other.select(F.col("x.line").alias("x"), F.col("y.line").alias("y")).distinct())
-    found = settled if more.isEmpty() else settled.union(_verified(more, texts))
+    settled = stored(_verified(pairs, texts))
+    open_rows = stored(later.join(settled.select(F.col("x").alias("line")).distinct(), "line", "left_anti"))
+    found = settled
+    if not open_rows.isEmpty():
+        more = stored(_others(open_rows, mates, stored(_bitmaps(texts, ranks))))
+        found = settled.union(stored(_verified(more, texts)))
     gone = found.select(F.col("x").alias("line")).distinct().withColumn("gone", F.lit(True))
     verdict = heads.join(gone, "line", "left").select("set_key", "line", F.col("gone").isNotNull().alias("gone"))
     lost = members.join(verdict, "set_key").where(F.col("gone") | (F.col("here") != F.col("line")))
