@@ -187,10 +187,11 @@ def removed_lines(docs: DataFrame) -> DataFrame:
     every = stored(classes(docs.select("doc_id", "text"), ranks))
     here = F.struct("doc_id", "line_no")
     heads = stored(every.groupBy("set_key").agg(F.min(here).alias("line")))
-    first = every.join(heads.select("set_key", "line.doc_id", "line.line_no"), ["set_key", "doc_id", "line_no"], "left_semi")
-    mates = stored(_mates(first).distinct())
     members = stored(every.select("set_key", here.alias("here")))
-    dropped(every)  # the prefixes are its bulk and are not read again
+    first = stored(every.join(heads.select("set_key", "line.doc_id", "line.line_no"), ["set_key", "doc_id", "line_no"], "left_semi"))
+    dropped(every)  # the prefixes are the bulk of both tables and are not read again
+    mates = stored(_mates(first).distinct())
+    dropped(first)
     later = mates.where(F.col("line") != F.col("earliest.line"))
     near = later.where(_possible(F.col("n"), F.col("place"), F.col("earliest.n"), F.col("earliest.place")))
     texts = stored(_texts_of(mates.select("line.doc_id", "line.line_no").distinct(), docs))
