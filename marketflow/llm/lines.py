@@ -1,7 +1,7 @@
 """Line dedup: an exact set-similarity join of lines, on DataFrame functions only.
 
-A line is the set of its five-word shingles (words between blanks, lower case); lines of fewer words are never
-removed. A line is removed if an earlier line, by (doc_id, line number), has a Jaccard likeness of 0.75 or more;
+A line is the set of its five-word shingles (words between blanks, lower case); a line of one to four words has all
+its words as its one shingle, so that its repeats go too. Lines without words are never removed. A line is removed if an earlier line, by (doc_id, line number), has a Jaccard likeness of 0.75 or more;
 this is judged on the input, not on what is left. The join:
 
 1. Shingles are ordered by rarity. The frequencies of all words of the corpus are counted in BUCKETS hashed classes; a
@@ -69,17 +69,19 @@ def word_ranks(docs: DataFrame) -> list[int]:
 
 
 def _tokenized(lines: DataFrame, ranks: list[int]) -> DataFrame:
-    """`lines` with tokens for `line`, without lines of fewer than WIDTH words.
+    """`lines` with tokens for `line`, without lines that have no words.
 
-    The tokens are the distinct shingles as 64-bit numbers, rarest first: 14 bits of rank, 48 bits of hash.
+    The tokens are the distinct shingles as 64-bit numbers, rarest first: 14 bits of rank, 48 bits of hash. The shingle
+    of a line of fewer than WIDTH words ends in nulls, which the hash leaves out.
     """
     table = F.from_json(F.lit(json.dumps([r << 48 for r in ranks])), "array<long>")
     high, none = F.lit(-1 << 48), F.lit(0).cast("long")
     code = lambda w: F.coalesce(F.get(table, _bucket(w)), none).bitwiseOR(F.shiftrightunsigned(F.xxhash64(w), 16))
     passed = [c for c in lines.columns if c != "line"]
-    long_enough = _bound(lines, "words", _words(F.col("line"))).where(F.size("words") >= WIDTH)
-    coded = _bound(long_enough.select(*passed, "words"), "codes", F.transform("words", code)).select(*passed, "codes")
-    fives = F.arrays_zip(*[F.slice("codes", F.lit(k + 1), F.size("codes") - (WIDTH - 1)).alias(f"w{k}") for k in range(WIDTH)])
+    worded = _bound(lines, "words", _words(F.col("line"))).where(F.get("words", F.lit(0)) != "")
+    coded = _bound(worded.select(*passed, "words"), "codes", F.transform("words", code)).select(*passed, "codes")
+    count = F.greatest(F.size("codes") - (WIDTH - 1), F.lit(1))
+    fives = F.arrays_zip(*[F.slice("codes", F.lit(k + 1), count).alias(f"w{k}") for k in range(WIDTH)])
 
     def token(five: Column) -> Column:
         return F.coalesce(five["w0"].bitwiseAND(high), none).bitwiseOR(F.shiftrightunsigned(F.xxhash64(five), 16))
@@ -102,7 +104,7 @@ def _possible(n: Column, at: Column, m: Column, to: Column) -> Column:
 
 
 def classes(docs: DataFrame, ranks: list[int]) -> DataFrame:
-    """(set_key, doc_id, line_no, n, prefix) of every line of WIDTH words or more; equal sets have equal keys."""
+    """(set_key, doc_id, line_no, n, prefix) of every line with words; equal sets have equal keys."""
     return _tokenized(_lines(docs), ranks).select(
         F.struct(F.xxhash64("tokens"), F.hash("tokens"), F.size("tokens")).alias("set_key"),
         "doc_id", "line_no", F.size("tokens").alias("n"),
@@ -133,9 +135,9 @@ def _texts_of(wanted: DataFrame, docs: DataFrame) -> DataFrame:
 
 
 def _shingles(line: Column) -> Column:
-    """Distinct shingles of a line as texts; none for a line of fewer words."""
+    """Distinct shingles of a line as texts; all its words for a line of fewer."""
     def of(words: Column) -> Column:
-        starts = F.when(F.size(words) >= WIDTH, F.sequence(F.lit(1), F.size(words) - (WIDTH - 1)))
+        starts = F.sequence(F.lit(1), F.greatest(F.size(words) - (WIDTH - 1), F.lit(1)))
         return F.array_distinct(F.transform(starts, lambda i: F.array_join(F.slice(words, i, WIDTH), " ")))
 
     # the words are bound once, as the single element of an array

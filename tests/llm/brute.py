@@ -118,3 +118,18 @@ def removed_lines(docs, width=5):
         for x in s:
             holders[x].append(k)
     return out
+
+
+def repeated_lines(docs, width=5):
+    """(doc_id, line number) of lines like an earlier one; a line of fewer words is one shingle, as in `shingles`."""
+    holders, sets, out = defaultdict(list), [], set()
+    for d, t in sorted((d, t) for d, t in docs if t is not None):
+        for i, line in enumerate(t.split("\n")):
+            w = [x for x in re.split(r"[\x20\x09-\x0D]+", line.lower()) if x]
+            s = {tuple(w[k : k + width]) for k in range(max(1, len(w) - width + 1))} if w else set()
+            if any(alike(s, sets[j]) for j in {j for x in s for j in holders[x]}):
+                out.add((d, i))
+            for x in s:
+                holders[x].append(len(sets))
+            sets.append(s)
+    return out
