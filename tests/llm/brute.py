@@ -133,3 +133,35 @@ def repeated_lines(docs, width=5):
                 holders[x].append(len(sets))
             sets.append(s)
     return out
+
+
+def quote_sources(messages):
+    """(turn, level, words of the passage) -> source turn or None, for (turn, text) of one conversation."""
+    norm = lambda t: " ".join(re.findall(r"[^\W_]+", t.lower()))
+    split = lambda t: [norm(x) for x in re.split(r"\n\s*\n", t) + t.split("\n")]
+    own, units, passages = {}, {}, []
+    for turn, text in messages:
+        said, broken, last = [], [], 0
+        for line in text.split("\n"):
+            marks = re.match(r"([ \t]*>[> \t]*)?", line)[0]
+            level, body = marks.count(">"), line[len(marks) :]
+            if level and level == last:
+                passages[-1][2].append(body)
+            elif level:
+                passages.append((turn, level, [body]))
+            else:
+                said.append(line)
+            broken.append("" if level else line)
+            last = level
+        own[turn], units[turn] = norm("\n".join(said)), {*split("\n".join(broken)), *split("\n".join(said))[-len(said) :], norm("\n".join(said))}
+    out = {}
+    for turn, level, bodies in passages:
+        w = norm("\n".join(bodies))
+        earlier = [t for t in own if t < turn]
+        has = lambda t, x: f" {x} " in f" {own[t]} "
+        pieces = set(split("\n".join(bodies))) - {"", w}
+        votes = [(sum(has(t, x) for x in pieces), t) for t in earlier]
+        if w:
+            best = [t for t in earlier if w in units[t]] or [t for t in earlier if has(t, w)] or [max(v for v in votes if v[0])[1]] if any(v[0] for v in votes) or any(has(t, w) for t in earlier) else []
+            out[turn, level, w] = max(best, default=None)
+    return out

@@ -1,8 +1,12 @@
 """Whole results: short lines, partial quotes and pairs of uncommon terms."""
 
+import random
+
+from pyspark.sql import functions as F
+
 import __spark_entry__ as entry
 import corpus_pipeline
-from marketflow.llm import lines
+from marketflow.llm import lines, quotes
 from tests.conftest import SMALL
 from tests.llm import brute
 
@@ -36,3 +40,45 @@ def test_stage_lines_with_short_lines(spark):
     left = {d: "\n".join(x for i, x in enumerate(t.split("\n")) if (d, i) not in gone) for d, t in texts.items()}
     found = {r.doc_id: r.text for r in stage(spark, docs, SMALL).collect()}
     assert found == {d: t for d, t in left.items() if t.strip() or t == texts[d]}
+
+
+CHAT = "conv_id long, turn long, role string, text string"
+
+
+def test_partial_quotes(spark):
+    rows = [
+        (0, "One is red.\nTwo is green and blue.\nThree is grey.\n\nFour stands apart.\n\nFive ends it."),
+        (1, "Nothing of that."),
+        (2, "> Four stands apart.\n>\n> Five ends it.\nTwo paragraphs."),
+        (3, "> One is red.\n> Two is green\n> and blue.\nTwo lines, wrapped."),
+        (4, "> green and\nPart of a line."),
+        (5, "> One is red.\n> [...]\n> Five ends it.\nWith words left out."),
+        (6, "> Nothing of that.\nFirst answer,\nin two lines.\n> Two lines, wrapped.\nSecond answer,\nalso in two."),
+        (7, "> First answer,\n> in two lines.\nTo the first."),
+        (8, "> is red Two\n> nobody said this\nHm."),
+        (9, "> reen and\nNo words."),
+    ]
+    df = spark.createDataFrame([(1, t, "u", x) for t, x in rows], CHAT)
+    by = {r.turn: r for r in quotes.conversations(df).collect()}
+    assert {t: r.parent for t, r in by.items()} == {0: None, 1: None, 2: 0, 3: 0, 4: 0, 5: 0, 6: 3, 7: 6, 8: 0, 9: None}
+    assert by[7].path == [0, 3, 6, 7] and by[5].n_linked == 1 and by[9].n_quotes == 1 and by[9].n_linked == 0
+
+
+def test_quotes_against_the_plain_version(spark):
+    rng = random.Random(6)
+    chats = {}
+    for conv in range(12):
+        chat = []
+        for turn in range(12):
+            lines_of = [" ".join(rng.choice("abcdefgh") for _ in range(rng.randint(1, 5))) for _ in range(rng.randint(1, 5))]
+            text = "\n".join(x + "\n" * (rng.random() < 0.3) for x in lines_of)
+            for _ in range(rng.randint(0, 2) if turn else 0):
+                source = rng.choice(chat)[1].split("\n")
+                picked = [x for x in source if x and rng.random() < 0.7]
+                text = "\n".join("> " + x[rng.choice([0, 0, 2]) :] for x in picked) + "\n" + text
+            chat.append((turn, "> z z\n\n" + text if rng.random() < 0.2 else text))
+        chats[conv] = chat
+    df = spark.createDataFrame([(c, t, "u", x) for c, chat in chats.items() for t, x in chat], CHAT)
+    want = {(c, t, n, brute.sha(w)): s for c, chat in chats.items() for (t, n, w), s in brute.quote_sources(chat).items()}
+    got = {(r.conv_id, r.turn, r.level, r.key): r.source_turn for r in quotes.links(df).select("conv_id", "turn", "level", F.col("key"), "source_turn").collect()}
+    assert got == want and len(want) > 50 and None in want.values()
