@@ -1,8 +1,10 @@
 """Toxicity: a factorization machine over hashed terms.
 
 A text is the set of its words (letters and digits, A-Z in lower case), hashed into BUCKETS terms. The machine keeps
-the terms that tell the labels apart in the sample (at least SEEN documents, SIGMA standard deviations from the base
-rate) and the frequent ones (COMMON of the documents), whose pairs may matter though they alone do not. The score is the
+every term that stands in at least SEEN documents of the sample. It is trained in two rounds: first on the terms that
+tell the labels apart by themselves (SIGMA standard deviations from the base rate) or are frequent (COMMON of the
+documents), then, from there, on all terms, as pairs may tell what neither term does; in small steps, so that the many
+terms that tell nothing stay near zero. The score is the
 logistic function of  bias + sum of weights + sum over pairs of <factors, factors>, the last in linear time through
 (sum v)^2 - sum v^2. Pairs are what an additive model misses, such as an insult next to the mention of a group.
 Training is minibatch gradient descent with numpy on at most SAMPLE labelled documents (a documented bound); a fifth
@@ -80,29 +82,18 @@ def _loss(z: np.ndarray, y: np.ndarray) -> float:
     return float(np.logaddexp(0, np.where(y > 0, -z, z)).mean())
 
 
-def fit(x: list[np.ndarray], y: np.ndarray, epochs: int = EPOCHS, decay: float = 2e-5) -> Machine | None:
-    """The machine of the best epoch, calibrated; None without both labels."""
-    if len(set(y.tolist())) < 2:
-        return None
-    apart = np.arange(len(x)) % 5 == 4
-    if len(set(y[apart].tolist())) < 2 or len(set(y[~apart].tolist())) < 2:
-        apart = np.zeros(len(x), bool)
-    train, held = np.flatnonzero(~apart), np.flatnonzero(apart) if apart.any() else np.arange(len(x))
-    rng = np.random.default_rng(9)
-    share = y[train].mean()
-    found, row = np.unique(np.concatenate([x[i] for i in train]), return_inverse=True)
-    seen = np.bincount(row, minlength=len(found))
-    toxic = np.bincount(row, np.repeat(y[train], [len(x[i]) for i in train]), len(found))
-    sigma = np.abs(toxic - seen * share) / np.sqrt(np.maximum(seen, 1) * share * (1 - share))
-    kept = found[(seen >= SEEN) & (sigma >= SIGMA) | (seen >= COMMON * len(train))]
-    n = len(kept)
-    m = Machine(kept, float(np.log(share / (1 - share))), np.zeros(n), rng.normal(0, 0.01, (n, FACTORS)))
-    x = m.known(x)
-    seen_w, seen_v = np.full(n, 1e-4), np.full((n, FACTORS), 1e-4)
+def _descended(
+    m: Machine, x: list[np.ndarray], y: np.ndarray, train: np.ndarray, held: np.ndarray, rng: np.random.Generator,
+    epochs: int, decay: float, rate: float, start: float,
+) -> Machine:
+    """The machine of the best epoch, `m` itself among them; `rate` of the weights, `start` of the factors' square sums."""
+    n = len(m.kept)
+    m = Machine(m.kept, m.bias, m.weight.copy(), m.factor.copy())
+    seen_w, seen_v = np.full(n, 1e-4), np.full((n, FACTORS), start)
     best = None
-    for _ in range(max(epochs, STEPS * 128 // len(train) + 1)):
+    for epoch in range(epochs + 1):
         rng.shuffle(train)
-        for begin in range(0, len(train), 128):
+        for begin in range(0, len(train) if epoch else 0, 128):
             part = [i for i in train[begin : begin + 128] if len(x[i])]
             if not part:
                 continue
@@ -111,21 +102,45 @@ def fit(x: list[np.ndarray], y: np.ndarray, epochs: int = EPOCHS, decay: float =
             at, row = np.concatenate(rows), np.repeat(np.arange(len(rows)), size)
             g = (1 / (1 + np.exp(-np.clip(m.raw(rows), -30, 30))) - y[part]) / len(part)
             total = np.add.reduceat(m.factor[at], np.concatenate(([0], np.cumsum(size)[:-1])), axis=0)
-            touched = np.unique(at)
+            touched, near = np.unique(at, return_inverse=True)
             each = g[row]
-            gw = np.bincount(at, each, n)[touched] + decay * m.weight[touched]
+            gw = np.bincount(near, each, len(touched)) + decay * m.weight[touched]
             pull = each[:, None] * (total[row] - m.factor[at])
-            gv = np.stack([np.bincount(at, pull[:, k], n)[touched] for k in range(FACTORS)], axis=1)
+            gv = np.stack([np.bincount(near, pull[:, k], len(touched)) for k in range(FACTORS)], axis=1)
             gv += decay * m.factor[touched]
             seen_w[touched] += gw * gw
             seen_v[touched] += gv * gv
-            m.weight[touched] -= 0.2 * gw / np.sqrt(seen_w[touched])
+            m.weight[touched] -= rate * gw / np.sqrt(seen_w[touched])
             m.factor[touched] -= 0.03 * gv / np.sqrt(seen_v[touched])
-            m.bias -= 0.2 * float(g.sum())
+            m.bias -= rate * float(g.sum())
         now = _loss(m.raw([x[i] for i in held]), y[held])
         if best is None or now < best[0]:
-            best = (now, Machine(kept, m.bias, m.weight.copy(), m.factor.copy()))
-    m = best[1]
+            best = (now, Machine(m.kept, m.bias, m.weight.copy(), m.factor.copy()))
+    return best[1]
+
+
+def fit(x: list[np.ndarray], y: np.ndarray, epochs: int = EPOCHS, decay: float = 2e-5) -> Machine | None:
+    """The machine of the best epoch, calibrated; None without both labels."""
+    if len(set(y.tolist())) < 2:
+        return None
+    apart = np.arange(len(x)) % 5 == 4
+    if len(set(y[apart].tolist())) < 2 or len(set(y[~apart].tolist())) < 2:
+        apart = np.zeros(len(x), bool)
+    train, held = np.flatnonzero(~apart), np.flatnonzero(apart) if apart.any() else np.arange(len(x))
+    rng = np.random.default_rng(9)
+    share = y[train].mean()
+    found, row = np.unique(np.concatenate([x[i] for i in train]), return_inverse=True)
+    seen = np.bincount(row, minlength=len(found))
+    toxic = np.bincount(row, np.repeat(y[train], [len(x[i]) for i in train]), len(found))
+    sigma = np.abs(toxic - seen * share) / np.sqrt(np.maximum(seen, 1) * share * (1 - share))
+    kept = found[seen >= SEEN]
+    clear = ((sigma >= SIGMA) | (seen >= COMMON * len(train)))[seen >= SEEN]
+    n = len(kept)
+    m = Machine(kept, float(np.log(share / (1 - share))), np.zeros(n), rng.normal(0, 0.01, (n, FACTORS)))
+    x = m.known(x)
+    epochs = max(epochs, STEPS * 128 // len(train) + 1)
+    m = _descended(m, [t[clear[t]] for t in x], y, train, held, rng, epochs, decay, 0.2, 1e-4)
+    m = _descended(m, x, y, train, held, rng, epochs, decay, 0.01, 1e-6)
     z = m.raw([x[i] for i in held])
     a, b = 1.0, 0.0
     for _ in range(300):  # slope and offset by gradient descent on the standardised raw scores

@@ -2,11 +2,12 @@
 
 import random
 
+import numpy as np
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 import corpus_pipeline
-from marketflow.llm import lines, quotes
+from marketflow.llm import lines, quotes, toxicity
 from tests.conftest import SMALL
 from tests.llm import brute
 
@@ -82,3 +83,20 @@ def test_quotes_against_the_plain_version(spark):
     want = {(c, t, n, brute.sha(w)): s for c, chat in chats.items() for (t, n, w), s in brute.quote_sources(chat).items()}
     got = {(r.conv_id, r.turn, r.level, r.key): r.source_turn for r in quotes.links(df).select("conv_id", "turn", "level", F.col("key"), "source_turn").collect()}
     assert got == want and len(want) > 50 and None in want.values()
+
+
+def test_pairs_of_uncommon_terms():
+    """Terms 1 and 2 stand in a twentieth of the texts each and tell nothing alone; together they are toxic."""
+    rng = np.random.default_rng(1)
+    x, y = [], []
+    for _ in range(8000):
+        u = rng.random()
+        both, a, b = u < 0.01, u < 0.05, u < 0.01 or 0.05 <= u < 0.09
+        y.append(float(both or (not (a or b) and rng.random() < 0.2)))
+        x.append(np.array(sorted([1] * a + [2] * b + list(set(rng.integers(10, 60, 5).tolist()))), np.int32))
+    machine = toxicity.fit(x, np.array(y))
+    score = machine.score(x)
+    first, second = (np.array([k in t for t in x]) for k in (1, 2))
+    assert np.quantile(score[first & second], 0.1) > 0.6 > 0.3 > np.quantile(score[first ^ second], 0.9)
+    i, j = np.searchsorted(machine.kept, [1, 2])
+    assert machine.factor[i] @ machine.factor[j] > 0
