@@ -14,6 +14,7 @@ from marketflow.llm import (
     lines,
     minhash,
     mixing,
+    packing,
     quotes,
     substrings,
     toxicity,
@@ -65,11 +66,18 @@ def op10_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.digest(table(spark, sf_dir, "documents"))
 
 
+def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_fingerprints, op2_licenses, op3_substrings, op4_conversations, op5_decontamination,
         op6_near_duplicates, op7_language, op8_mixture, op9_toxicity, op10_lines,
+        op11_packing,
     )
 }
 SQL: dict[str, str] = {"op8_mixture": mixing.SQL}
