@@ -29,6 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from marketflow.llm.common import stored
 
@@ -192,7 +193,8 @@ def packed(cut: DataFrame, length: int = LENGTH, open_bins: int = OPEN_BINS, per
             added = [pa.array(places[:, 0] + first), pa.array(places[:, 1])]
             yield pa.RecordBatch.from_arrays([*window.columns, *added], [*window.schema.names, "sequence_id", "offset"])
 
-    return dealt.mapInArrow(run, cut.schema.add("sequence_id", "long").add("offset", "long"))
+    added = [T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())]
+    return dealt.mapInArrow(run, T.StructType([*cut.schema.fields, *added]))
 
 
 def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from marketflow.llm import (
+    collocations,
     decontaminate,
     fingerprint,
     language,
@@ -16,6 +17,7 @@ from marketflow.llm import (
     mixing,
     packing,
     quotes,
+    spelling,
     substrings,
     toxicity,
 )
@@ -72,12 +74,20 @@ def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_fingerprints, op2_licenses, op3_substrings, op4_conversations, op5_decontamination,
         op6_near_duplicates, op7_language, op8_mixture, op9_toxicity, op10_lines,
-        op11_packing,
+        op11_packing, op12_spelling, op13_collocations,
     )
 }
 SQL: dict[str, str] = {"op8_mixture": mixing.SQL}
