@@ -4,10 +4,11 @@ Every language (null: `und`) is counted for itself. A phrase is 1 to `LONGEST` w
 
 1. `borders`: a bounded sample of places in the texts gives the borders of key ranges, keys being (lang, word, ...) in
    byte order. Borders only deal out the work; a frequent first word is split by its next words.
-2. `survey`: each task counts the words of its documents, sorts them and builds count transducers, cut at the borders; it
-   also counts bigrams and trigrams in a fixed number of hashed cells, each up to `LEAST`. Cells that reach `LEAST` over
-   all tasks are kept as bits: no phrase of `LEAST` occurrences lies in another cell, so the rest need not be counted.
-3. `shards`: the same for the phrases of 2 to `LONGEST` words whose bigrams and trigrams all lie in kept cells.
+2. `survey`: each task counts the words, bigrams and trigrams of its documents in a fixed number of hashed cells, each up
+   to `LEAST`. Cells that reach `LEAST` over all tasks are kept as bits: no phrase of `LEAST` occurrences lies in another
+   cell, so the rest need not be counted.
+3. `shards`: the phrases of 1 to `LONGEST` words whose words, bigrams and trigrams all lie in kept cells are counted,
+   sorted and built into count transducers, cut at the borders. The words of a language are the weight of its empty phrase.
 4. `summed`: the transducers of a range are united and their weights added up, `FAN` at a time.
 5. `looked_up`: a candidate needs the counts of its parts. Each range of candidates asks each range of parts once for
    each distinct part; the requests are an automaton too, composed with the count transducer of the range.
@@ -15,7 +16,7 @@ Every language (null: `und`) is counted for itself. A phrase is 1 to `LONGEST` w
    frequency go; the first `TOP` of each language stay, found in `SALTS` parts before they meet.
 
 The work per task is bounded by `FLUSH` words and by the width of a range. What goes to the driver is the sample and the
-bits (at most 2 * 2^27 / 8 bytes, both bounded); bits go to all tasks. Where the corpus outgrows the cells, more phrases
+bits (at most 3 * 2^27 / 8 bytes, both bounded); bits go to all tasks. Where the corpus outgrows the cells, more phrases
 are counted, none less. Scores are exact whole numbers.
 
 Null and empty texts have no words. Every row counts, also rows that repeat a doc_id; only text and lang are read. Ties
@@ -25,7 +26,7 @@ are settled by score, a, then the bytes of the phrase. An empty table gives an e
 from __future__ import annotations
 
 from bisect import bisect_left, bisect_right
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -44,7 +45,7 @@ BLOCK = 20_000  # keys of a stored transducer
 FAN = 64  # transducers united at a time
 SALTS = 32
 SAMPLE = 20_000  # places that set the borders, at most
-CELL_BYTES = 64  # bytes of text for each hashed cell
+CELL_BYTES = 256  # bytes of text for each hashed cell of an order
 CELL_BITS = (16, 27)  # least and most cells of each order, as powers of two
 SLICE = 1 << 16  # cells of a stored slice
 SLAB = 1 << 20  # bytes of a text that are split at a time
@@ -105,32 +106,32 @@ def hashes(names: list[bytes]) -> np.ndarray:
     return np.fromiter(map(xxhash.xxh3_64_intdigest, names), np.uint64, len(names))
 
 
-def cells_of(h: np.ndarray, t: np.ndarray, lang: bytes, bits: int) -> tuple[list[np.ndarray], list[np.ndarray]]:
-    """For bigrams and trigrams at every place: whether they lie within a piece, and their cell."""
+ORDERS = 3  # words, bigrams and trigrams have cells
+
+
+def cells_of(h: np.ndarray, t: np.ndarray, lang: bytes, bits: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """For words, bigrams and trigrams at every place: whether they lie within a piece, and their cell."""
     word = h[t]
-    fits, cells = [], []
     value, ok = scrambled(word ^ _U(xxhash.xxh3_64_intdigest(lang))), t > 0
-    for k in (1, 2):
-        n = max(0, len(t) - k)
-        value = scrambled(value[:n] * _U(0x9E3779B97F4A7C15) + word[k : k + n])
-        ok = ok[:n] & (t[k : k + n] > 0)
-        fits.append(ok)
-        cells.append((value >> _U(64 - bits)).astype(np.int64))
-    return fits, cells
+    for k in range(ORDERS):
+        if k:
+            n = max(0, len(t) - k)
+            value = scrambled(value[:n] * _U(0x9E3779B97F4A7C15) + word[k : k + n])
+            ok = ok[:n] & (t[k : k + n] > 0)
+        yield ok, (value >> _U(64 - bits)).astype(np.int64)
 
 
 def counts_of(t: np.ndarray, places: list[np.ndarray], words: int) -> tuple[np.ndarray, np.ndarray]:
-    """Phrases of 2 words and more at the given places of each order: rows of ranks (0: no more words) in byte order,
-    and how often each stands there."""
-    width = len(places) + 1
+    """Phrases at the given places of each order, from one word on: rows of ranks (0: no more words) in byte order, and
+    how often each stands there. The places of an order are among those of the order before."""
     rows, counts = [], []
-    group = t  # the number of the phrase of one word less at each place
-    for k, at in enumerate(places, 1):
-        key = group[at] * (words + 1) + t[at + k]
-        distinct, first, inverse, n = np.unique(key, return_index=True, return_inverse=True, return_counts=True)
-        group = np.zeros(len(t), np.int64)
+    group = np.zeros(len(t), np.int64)  # the number of the phrase of one word less at each place
+    for k, at in enumerate(places):
+        distinct, first, inverse, n = np.unique(
+            group[at] * (words + 1) + t[at + k], return_index=True, return_inverse=True, return_counts=True
+        )
         group[at] = inverse
-        row = np.zeros((len(distinct), width), np.int64)
+        row = np.zeros((len(distinct), len(places)), np.int64)
         row[:, : k + 1] = t[at[first][:, None] + np.arange(k + 1)]
         rows.append(row)
         counts.append(n)
@@ -148,45 +149,21 @@ def blocks(items: list[tuple[automata.Key, int]], limits: list[automata.Key]) ->
             yield part, automata.built(items[at : min(at + BLOCK, edges[part + 1])])
 
 
-SHARD_TYPES = f"slot int, {automata.TYPES}, cells binary"
-
-
-def _rows(slots: list[int], found: list[automata.Transducer], cells: list[bytes]) -> pa.RecordBatch:
-    """Transducers, or slices of cells in slots below 0."""
-    blank = automata.Transducer([], [], [], [], [], [])
-    columns = automata.columns_of([*found, *[blank] * len(cells)])
-    return pa.RecordBatch.from_arrays(
-        [pa.array(slots, pa.int32()), *columns, pa.array([*[None] * len(found), *cells], pa.binary())], ["slot", *automata.COLUMNS, "cells"]
-    )
-
-
 def _texts(docs: DataFrame) -> DataFrame:
     lang = F.coalesce(F.col("lang").cast("string"), F.lit("und")).cast("binary")
     return docs.select(lang.alias("lang"), F.col("text").cast("binary").alias("text")).where("text IS NOT NULL")
 
 
-def _scan(docs: DataFrame, make: Callable[[], tuple[Callable[[Shard], list], Callable[[], Iterator[pa.RecordBatch]]]], limits: list) -> DataFrame:
-    """Run over all texts in shards. `make` gives what turns a shard into sorted keys and counts, and what is written at
-    the end of a task."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        count, rest = make()
-        shard = Shard()
-
-        def flushed() -> Iterator[pa.RecordBatch]:
-            for slot, found in blocks(count(shard), limits):
-                yield _rows([slot], [found], [])
-            shard.clear()
-
-        for batch in batches:
-            for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist(), strict=True):
-                shard.add(lang, text)
-                if shard.size >= FLUSH:
-                    yield from flushed()
-        yield from flushed()
-        yield from rest()
-
-    return _texts(docs).mapInArrow(run, SHARD_TYPES)
+def _in_shards(batches: Iterator[pa.RecordBatch]) -> Iterator[Shard]:
+    """The texts of a task, `FLUSH` words at a time."""
+    shard = Shard()
+    for batch in batches:
+        for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist(), strict=True):
+            shard.add(lang, text)
+            if shard.size >= FLUSH:
+                yield shard
+                shard.clear()
+    yield shard
 
 
 def borders(docs: DataFrame, parts: int) -> tuple[list[automata.Key], int]:
@@ -206,32 +183,24 @@ def borders(docs: DataFrame, parts: int) -> tuple[list[automata.Key], int]:
     return sorted({ordered[len(ordered) * i // parts] for i in range(1, parts)}) if ordered else [], size
 
 
-def survey(docs: DataFrame, limits: list[automata.Key], bits: int, least: int) -> DataFrame:
-    """Word counts as transducers, and hashed cells of bigrams and trigrams: how often each was met, up to `least`."""
+def survey(docs: DataFrame, bits: int, least: int) -> DataFrame:
+    """slot, cells: how often each cell was met in a task, up to `least`, in slices; slices that were not met are left out."""
     kind = np.min_scalar_type(least)
 
-    def make() -> tuple:
-        met = np.zeros((2, 1 << bits), kind)
-
-        def count(shard: Shard) -> list:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        met = np.zeros((ORDERS, 1 << bits), kind)
+        for shard in _in_shards(batches):
             names, languages = shard.ranked()
-            h, out = hashes(names), []
+            h = hashes(names)
             for lang, t in languages:
-                for order, (fits, cells) in enumerate(zip(*cells_of(h, t, lang, bits), strict=True)):
+                for order, (fits, cells) in enumerate(cells_of(h, t, lang, bits)):
                     cell, n = np.unique(cells[fits], return_counts=True)
                     met[order, cell] = np.minimum(met[order, cell] + n, least)
-                n = np.bincount(t, minlength=len(names))
-                out += [((lang, names[i]), int(n[i])) for i in np.flatnonzero(n[1:]) + 1]
-            return out
-
-        def rest() -> Iterator[pa.RecordBatch]:
-            for number, cut in enumerate(met.reshape(-1, min(SLICE, 1 << bits)), 1):
-                if cut.any():
-                    yield _rows([-number], [], [cut.tobytes()])
-
-        return count, rest
+        for slot, cut in enumerate(met.reshape(-1, min(SLICE, 1 << bits))):
+            if cut.any():
+                yield pa.RecordBatch.from_arrays([pa.array([slot], pa.int32()), pa.array([cut.tobytes()], pa.binary())], ["slot", "cells"])
 
-    return _scan(docs, make, limits)
+    return _texts(docs).mapInArrow(run, "slot int, cells binary")
 
 
 def kept_cells(cells: DataFrame, bits: int, least: int) -> np.ndarray:
@@ -254,57 +223,53 @@ def kept_cells(cells: DataFrame, bits: int, least: int) -> np.ndarray:
         if slot is not None:
             yield out()
 
-    kept = np.zeros(((2 << bits) // width, width // 8), np.uint8)
+    kept = np.zeros(((ORDERS << bits) // width, width // 8), np.uint8)
     for r in cells.repartition("slot").sortWithinPartitions("slot").mapInArrow(run, "slot int, bits binary").collect():
-        kept[-r.slot - 1] = np.frombuffer(r.bits, np.uint8)
-    return kept.reshape(2, -1)
+        kept[r.slot] = np.frombuffer(r.bits, np.uint8)
+    return kept.reshape(ORDERS, -1)
+
+
+def _frequent(kept: np.ndarray, t: np.ndarray, h: np.ndarray, lang: bytes, bits: int, longest: int) -> list[np.ndarray]:
+    """For each order the places where a phrase begins whose words, bigrams and trigrams lie in kept cells."""
+    may, places = None, []
+    for row, (fits, cells) in zip(kept, cells_of(h, t, lang, bits), strict=True):
+        fits = fits & (row[cells >> 3] >> (7 - (cells & 7)).astype(np.uint8) & 1).astype(bool)
+        may = fits if may is None else fits & may[: len(fits)] & may[1 : len(fits) + 1]
+        places.append(np.flatnonzero(may))
+    for _ in range(longest - ORDERS):
+        may = may[:-1] & may[1:]
+        places.append(np.flatnonzero(may))
+    return places[:longest]
 
 
 def shards(docs: DataFrame, limits: list[automata.Key], kept, bits: int, longest: int) -> DataFrame:
-    """Counts of the phrases of two words and more that may be frequent, as transducers. `kept` is broadcast."""
+    """slot and transducers: counts of the phrases that may be frequent, and of all words. `kept` is broadcast."""
 
-    def make() -> tuple:
-        def count(shard: Shard) -> list:
-            names, languages = shard.ranked()
-            h, out = hashes(names), []
-            for lang, t in languages:
-                may, places = None, []
-                for order, (fits, cells) in enumerate(zip(*cells_of(h, t, lang, bits), strict=True)):
-                    row = kept.value[order]
-                    fits &= (row[cells >> 3] >> (7 - (cells & 7)).astype(np.uint8) & 1).astype(bool)
-                    may = fits if may is None else fits & may[:-1][: len(fits)] & may[1:][: len(fits)]
-                    places.append(np.flatnonzero(may))
-                for _ in range(longest - 3):
-                    may = may[:-1] & may[1:]
-                    places.append(np.flatnonzero(may))
-                rows, n = counts_of(t, places[: longest - 1], len(names))
-                out += [((lang, *(names[w] for w in row if w)), c) for row, c in zip(rows.tolist(), n.tolist(), strict=True)]
-            return out
-
-        return count, lambda: iter(())
-
-    return _scan(docs, make, limits)
-
-
-def summed(found: DataFrame, least: int, totals: bool = False) -> DataFrame:
-    """lang, words, n of the keys that reach `least` over all shards; with `totals`, the sum of all counts of a language
-    in the range too, under no words."""
+    def counted(shard: Shard) -> list[tuple[automata.Key, int]]:
+        names, languages = shard.ranked()
+        h, out = hashes(names), []
+        for lang, t in languages:
+            rows, n = counts_of(t, _frequent(kept.value, t, h, lang, bits, longest), len(names))
+            out.append(((lang,), int(np.count_nonzero(t))))
+            out += [((lang, *(names[w] for w in row if w)), c) for row, c in zip(rows.tolist(), n.tolist(), strict=True)]
+        return out
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for shard in _in_shards(batches):
+            for slot, found in blocks(counted(shard), limits):
+                yield pa.RecordBatch.from_arrays([pa.array([slot], pa.int32()), *automata.columns_of([found])], ["slot", *automata.COLUMNS])
+
+    return _texts(docs).mapInArrow(run, f"slot int, {automata.TYPES}")
+
+
+def summed(found: DataFrame, least: int) -> DataFrame:
+    """lang, words, n of the keys that reach `least` over all shards, and of the empty phrases."""
     parts = shuffle_width(found.sparkSession)
 
-    def out(several: list[automata.Transducer]) -> Iterator[pa.RecordBatch]:
-        lang, words, n, total = [], [], [], {}
-        for key, count in automata.merged(t.items() for t in several):
-            if totals:
-                total[key[0]] = total.get(key[0], 0) + count
-            if count >= least:
-                lang.append(key[0])
-                words.append(list(key[1:]))
-                n.append(count)
-        for key, count in total.items():
-            lang.append(key)
-            words.append([])
-            n.append(count)
-        yield pa.RecordBatch.from_arrays([pa.array(lang, pa.binary()), pa.array(words, pa.list_(pa.binary())), pa.array(n, pa.int64())], ["lang", "words", "n"])
+    def out(several: list[automata.Transducer]) -> pa.RecordBatch:
+        rows = [(key[0], list(key[1:]), n) for key, n in automata.merged(t.items() for t in several) if n >= least or len(key) == 1]
+        kinds = (pa.binary(), pa.list_(pa.binary()), pa.int64())
+        return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)], ["lang", "words", "n"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         slot, several = None, []
@@ -312,16 +277,15 @@ def summed(found: DataFrame, least: int, totals: bool = False) -> DataFrame:
             for row, number in enumerate(batch.column("slot").to_pylist()):
                 if number != slot:
                     if several:
-                        yield from out(several)
+                        yield out(several)
                     slot, several = number, []
                 several.append(automata.from_row(batch, row))
                 if len(several) == FAN:
                     several = [automata.union(several)]
         if several:
-            yield from out(several)
+            yield out(several)
 
-    dealt = found.where("slot >= 0").drop("cells").repartition(parts, "slot").sortWithinPartitions("slot")
-    return dealt.mapInArrow(run, "lang binary, words array<binary>, n long")
+    return found.repartition(parts, "slot").sortWithinPartitions("slot").mapInArrow(run, "lang binary, words array<binary>, n long")
 
 
 REQUEST = "slot int, home int, lang binary, words array<binary>, n long"
@@ -423,15 +387,14 @@ def phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST) -> tupl
     spark = docs.sparkSession
     limits, size = borders(docs, shuffle_width(spark))
     bits = min(max((size // CELL_BYTES).bit_length(), CELL_BITS[0]), CELL_BITS[1])
-    seen = stored(survey(docs, limits, bits, least))
-    kept = spark.sparkContext.broadcast(kept_cells(seen.where("slot < 0").select("slot", "cells"), bits, least))
-    words = stored(summed(seen, least, totals=True))
-    dropped(seen)
+    met = stored(survey(docs, bits, least))
+    kept = spark.sparkContext.broadcast(kept_cells(met, bits, least))
+    dropped(met)
     counted = stored(shards(docs, limits, kept, bits, longest))
-    longer = stored(summed(counted, least))
+    found = stored(summed(counted, least))
     dropped(counted)
-    totals = words.where("size(words) = 0").groupBy("lang").agg(F.sum("n").alias("total"))
-    return words.where("size(words) > 0").unionByName(longer), totals, limits
+    totals = found.where("size(words) = 0").groupBy("lang").agg(F.sum("n").alias("total"))
+    return found.where("size(words) > 0"), totals, limits
 
 
 def collocations(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, top: int = TOP) -> DataFrame:
