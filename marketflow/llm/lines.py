@@ -14,9 +14,10 @@ this is judged on the input, not on what is left. The join:
    Bitmaps of their shingles bound the likeness from above, and only pairs that may reach it leave the join.
 
 Hence no group is paired out: a group of many variants of a line is settled by its earliest line in step 3, and
-frequent shingles are not in prefixes. Null texts have no lines and stay null. Rows that repeat a doc_id are numbered
-together: the lines of equal rows are one line, kept or removed alike. Rows without doc_id are not compared and stay
-as they are. `deduplicated` drops documents that lose all of a text that had words.
+frequent shingles are not in prefixes. Null texts have no lines and stay null. A text is known by its
+doc_id and a 64-bit hash of it: equal rows are one text, whose lines are kept or removed alike, and other texts of the
+same doc_id are texts of their own, in the order of their hashes. Rows without doc_id are not compared and stay as they
+are. `deduplicated` drops documents that lose all of a text that had words.
 """
 
 from __future__ import annotations
@@ -35,9 +36,14 @@ BITS = 512
 BLANKS = r"[\x20\x09-\x0D]+"
 
 
+def _key() -> Column:
+    """A text of a document; takes the place of doc_id inside this module."""
+    return F.struct("doc_id", F.xxhash64("text").alias("text_hash"))
+
+
 def _lines(docs: DataFrame) -> DataFrame:
     """(doc_id, line_no, line) of every line."""
-    return docs.where(F.col("doc_id").isNotNull()).select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
+    return docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
 
 
 def _bound(df: DataFrame, name: str, value: Column) -> DataFrame:
@@ -184,9 +190,15 @@ def _others(open_rows: DataFrame, mates: DataFrame, bitmaps: DataFrame) -> DataF
 
 
 def removed_lines(docs: DataFrame) -> DataFrame:
-    """(doc_id, line_no) of every line that an earlier one makes superfluous."""
+    """(doc_id, line_no) of every line that an earlier one makes superfluous, in any text of that doc_id."""
+    return _lost(docs).select("doc_id.doc_id", "line_no").distinct()
+
+
+def _lost(docs: DataFrame) -> DataFrame:
+    """(doc_id, line_no), with `_key` as doc_id, of every line that an earlier one makes superfluous."""
+    docs = docs.where(F.col("doc_id").isNotNull()).select(_key().alias("doc_id"), "text")
     ranks = word_ranks(docs)
-    every = stored(classes(docs.select("doc_id", "text"), ranks))
+    every = stored(classes(docs, ranks))
     here = F.struct("doc_id", "line_no")
     heads = stored(every.groupBy("set_key").agg(F.min(here).alias("line")))
     members = stored(every.select("set_key", here.alias("here")))
@@ -210,24 +222,27 @@ def removed_lines(docs: DataFrame) -> DataFrame:
     return lost.select("here.doc_id", "here.line_no").distinct()
 
 
-def _rebuilt(docs: DataFrame) -> DataFrame:
-    """`docs` with __gone, the numbers of the removed lines, and __text, the text without them."""
-    gone = stored(removed_lines(docs).groupBy("doc_id").agg(F.collect_list("line_no").alias("__gone")))
-    joined = docs.drop("__gone", "__text").join(gone, "doc_id", "left").withColumn("__gone", F.coalesce("__gone", F.array().cast("array<int>")))
-    lines = F.split("text", "\n")
+def _rebuilt(docs: DataFrame) -> tuple[DataFrame, Column, Column]:
+    """`docs` with two more columns: the numbers of the removed lines, and the text without them."""
+    taken = {c.lower() for c in docs.columns}
+    key, gone_name, text_name = (n + "_" * max((len(c) for c in taken if c.startswith(n)), default=0) for n in ("__key", "__gone", "__text"))
+    lost = stored(_lost(docs).groupBy(F.col("doc_id").alias(key)).agg(F.collect_list("line_no").alias(gone_name)))
+    keyed = docs.withColumn(key, F.when(F.col("doc_id").isNotNull(), _key()))
+    gone, lines = F.col(gone_name), F.split("text", "\n")
+    joined = keyed.join(lost, key, "left").withColumn(gone_name, F.coalesce(gone, F.array().cast("array<int>")))
     numbered = F.transform(lines, lambda line, i: F.struct(line.alias("line"), i.alias("i")))
-    kept = F.filter(numbered, lambda s: ~F.array_contains("__gone", s["i"]))
-    text = F.when(F.size("__gone") > 0, F.array_join(F.transform(kept, lambda s: s["line"]), "\n")).otherwise(F.col("text"))
-    return joined.withColumn("__text", text)
+    kept = F.filter(numbered, lambda s: ~F.array_contains(gone, s["i"]))
+    text = F.when(F.size(gone) > 0, F.array_join(F.transform(kept, lambda s: s["line"]), "\n")).otherwise(F.col("text"))
+    return joined.withColumn(text_name, text), gone, F.col(text_name)
 
 
 def deduplicated(docs: DataFrame) -> DataFrame:
     """`docs` without the removed lines and with n_chars anew, without the documents of which no word is left."""
-    rebuilt = _rebuilt(docs)
-    empty = (F.size("__gone") > 0) & (F.trim(F.regexp_replace("__text", BLANKS, " ")) == "")
-    changes = {"text": F.col("__text"), "n_chars": F.length("__text").cast("long")}
+    rebuilt, gone, text = _rebuilt(docs)
+    empty = (F.size(gone) > 0) & (F.trim(F.regexp_replace(text, BLANKS, " ")) == "")
+    changes = {"text": text, "n_chars": F.length(text).cast("long")}
     columns = [
-        F.when(F.size("__gone") > 0, changes[c]).otherwise(F.col(f"`{c}`")).alias(c) if c in changes else F.col(f"`{c}`")
+        F.when(F.size(gone) > 0, changes[c]).otherwise(F.col(f"`{c}`")).alias(c) if c in changes else F.col(f"`{c}`")
         for c in docs.columns
     ]
     return rebuilt.where(~empty).select(*columns)
@@ -235,6 +250,6 @@ def deduplicated(docs: DataFrame) -> DataFrame:
 
 def digest(docs: DataFrame) -> DataFrame:
     """One row per document: doc_id, n_lines, n_removed and the text that is left."""
-    rebuilt = _rebuilt(docs.select("doc_id", "text"))
+    rebuilt, gone, text = _rebuilt(docs.select("doc_id", "text"))
     n_lines = F.when(F.col("text").isNull(), 0).otherwise(F.size(F.split("text", "\n"))).cast("long")
-    return rebuilt.select("doc_id", n_lines.alias("n_lines"), F.size("__gone").cast("long").alias("n_removed"), F.col("__text").alias("text"))
+    return rebuilt.select("doc_id", n_lines.alias("n_lines"), F.size(gone).cast("long").alias("n_removed"), text.alias("text"))

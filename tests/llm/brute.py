@@ -103,23 +103,6 @@ def near_duplicates(docs):
     return {d: (len(s), root(d)) for d, s in sets.items()}
 
 
-def removed_lines(docs, width=5):
-    """(doc_id, line number) of lines like an earlier one."""
-    lines = []
-    for d, t in sorted((d, t) for d, t in docs if t is not None):
-        for i, line in enumerate(t.split("\n")):
-            w = [x for x in re.split(r"[\x20\x09-\x0D]+", line.lower()) if x]
-            if len(w) >= width:
-                lines.append(((d, i), {tuple(w[k : k + width]) for k in range(len(w) - width + 1)}))
-    holders, out = defaultdict(list), set()
-    for k, (at, s) in enumerate(lines):
-        if any(alike(s, lines[j][1]) for j in {j for x in s for j in holders[x]}):
-            out.add(at)
-        for x in s:
-            holders[x].append(k)
-    return out
-
-
 def repeated_lines(docs, width=5):
     """(doc_id, line number) of lines like an earlier one; a line of fewer words is one shingle, as in `shingles`."""
     holders, sets, out = defaultdict(list), [], set()

@@ -70,7 +70,7 @@ def test_op9_held_out(spark):
 
 
 def test_op10(spark, texts):
-    gone = brute.removed_lines(list(texts.items()))
+    gone = brute.repeated_lines(list(texts.items()))
     for r in run(spark, "op10_lines"):
         lines = texts[r.doc_id].split("\n")
         kept = [x for i, x in enumerate(lines) if (r.doc_id, i) not in gone]
@@ -87,7 +87,7 @@ def test_pipeline(spark, texts):
     assert all(s.columns == docs.columns for s in steps[:-1])
     known, lined, near, clean, mixed = ({r.doc_id: r for r in s.collect()} for s in steps[1:])
     assert len(known) > 0.98 * len(texts)
-    gone = brute.removed_lines([(d, r.text) for d, r in known.items()])
+    gone = brute.repeated_lines([(d, r.text) for d, r in known.items()])
     left = {d: "\n".join(x for i, x in enumerate(r.text.split("\n")) if (d, i) not in gone) for d, r in known.items()}
     assert {d: r.text for d, r in lined.items()} == {d: t for d, t in left.items() if t.strip() or t == known[d].text}
     homes = brute.near_duplicates([(d, r.text) for d, r in lined.items()])

@@ -245,7 +245,7 @@ def test_pairs_that_weights_miss():
 
 def test_lines(docs, empty):
     got = {tuple(r) for r in lines.removed_lines(docs.df).collect()}
-    want = brute.removed_lines(list(docs.by_id.items()))
+    want = brute.repeated_lines(list(docs.by_id.items()))
     assert got == want and len(got) > 10
     out = lines.deduplicated(docs.df.selectExpr("*", "1 AS __gone")).collect()
     for r in out:
@@ -264,7 +264,7 @@ def test_lines_that_the_earliest_does_not_settle(spark):
     a, b, c = w[:40], w[6:46], w[12:52]
     rows = [(1, " ".join(a)), (2, " ".join(b)), (3, " ".join(c)), (4, " ".join(w[13:53]))]
     df = spark.createDataFrame(rows, "doc_id long, text string")
-    assert {tuple(r) for r in lines.removed_lines(df).collect()} == brute.removed_lines(rows)
+    assert {tuple(r) for r in lines.removed_lines(df).collect()} == brute.repeated_lines(rows)
 
 
 def test_native_operators_stay_out_of_python(spark, docs, capsys):
