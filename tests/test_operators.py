@@ -76,6 +76,28 @@ def test_attach_gives_the_same_rows_broadcast_or_salted(spark, how):
         assert rows(joins.attach(facts, dim, ["k"], how, small=small).select("k", "trade_id", "name")) == want
 
 
+def test_only_hot_keys_are_repeated(spark):
+    """A key with a third of the facts is spread; of a dimension of a thousand rows only its row is repeated."""
+    facts = spark.range(30_000).selectExpr("CASE WHEN id % 3 = 0 THEN 7 ELSE cast(id % 1000 AS int) END AS k", "id")
+    dim = spark.range(1000).selectExpr("id AS k", "id * 2 AS twice")  # a key of another type
+    hot = joins.hot_keys(facts, ["k"])
+    spread, repeated = joins.salted(facts, dim, ["k"], hot, salts=64)
+    assert len(hot) == 1 and repeated.count() == 999 + 64
+    groups = spread.groupBy("k", "_salt").count()
+    assert groups.agg(F.max("count")).first()[0] < 400 and groups.filter("k <> 7 AND _salt <> 0").count() == 0
+    assert rows(joins.attach(facts, dim, ["k"], small=False)) == rows(joins.attach(facts, dim, ["k"], small=True))
+
+
+def test_facts_without_hot_keys(spark):
+    facts = spark.range(5000).selectExpr("id AS k", "cast(NULL AS string) AS x")
+    assert joins.hot_keys(facts, ["k", "x"]) == [] == joins.hot_keys(facts.limit(0), ["k"])
+    nulls = joins.hot_keys(facts, ["x"])
+    assert len(nulls) == 1
+    dim = spark.createDataFrame([(None, 1), ("a", 2)], "x string, v int")
+    assert rows(joins.attach(facts, dim, ["x"], small=False), "v") == [(None,)] * 5000
+    assert joins.attach(facts, dim, ["x"], "inner", small=False).count() == 0
+
+
 def test_broadcast_only_within_the_limit(spark):
     dim = spark.range(1000).select(F.col("id").cast("string").alias("k"))
     assert joins.measured_bytes(dim) == 1000 * 24 + 2890
