@@ -47,17 +47,19 @@ def latest_by_condition(markets: DataFrame, *columns: str) -> DataFrame:
     return latest(markets, ["condition_id"], list(columns))
 
 
+def listed_tokens(markets: DataFrame) -> DataFrame:
+    """token_id, updated_at, market_id, condition_id of every token that a version lists."""
+    return markets.select(F.explode("clob_token_ids").alias("token_id"), "updated_at", "market_id", "condition_id")
+
+
+def latest_tokens(listed: DataFrame) -> DataFrame:
+    """The newest listing of every token; ties are settled by market, then condition."""
+    return latest(listed, ["token_id"], ["updated_at", "market_id", "condition_id"])
+
+
 def token_map(markets: DataFrame) -> DataFrame:
     """Token → condition and market, from the newest version that lists the token; older tokens are not forgotten."""
-    tokens = markets.select(
-        F.explode("clob_token_ids").alias("token_id"), "condition_id", "market_id", "updated_at"
-    )
-    newest = F.max(F.struct("updated_at", "market_id", "condition_id")).alias("_newest")
-    return (
-        tokens.groupBy("token_id")
-        .agg(newest)
-        .select("token_id", F.col("_newest.condition_id").alias("condition_id"), F.col("_newest.market_id").alias("market_id"))
-    )
+    return latest_tokens(listed_tokens(markets)).select("token_id", "condition_id", "market_id")
 
 
 def enrich(rows: DataFrame, tokens: DataFrame, small: bool | None = None) -> DataFrame:

@@ -83,7 +83,31 @@ BBO = _struct(
     ("mid_px", _D, True),
 )
 
+TRADE_MINUTES = _struct(
+    ("condition_id", _S, True),
+    ("token_id", _S, True),
+    ("minute", _TS, True),
+    ("trades", T.LongType(), True),
+    ("volume", _D, True),
+    ("buy_volume", _D, True),
+    ("sell_volume", _D, True),
+    ("total_size", _D, True),
+    ("min_price", _D, True),
+    ("max_price", _D, True),
+    ("first_trade", _TS, True),
+    ("last_trade", _TS, True),
+)
+
+MINUTE_SKETCHES = _struct(
+    ("minute", _TS, True),
+    ("seen_in", _S, True),
+    ("rows", T.LongType(), True),
+    ("tokens", T.BinaryType(), True),
+    ("markets", T.BinaryType(), True),
+)
+
 TABLES = {"trades_raw": TRADES, "orderbook_levels": LEVELS, "markets_dim": MARKETS}
+ROLLUPS = {"trade_minutes": TRADE_MINUTES, "minute_sketches": MINUTE_SKETCHES}
 
 # Written where a column is missing or null.
 DEFAULTS = {

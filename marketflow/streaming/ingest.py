@@ -8,17 +8,16 @@ import time
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
-from marketflow.operators.dimension import enrich, token_map
+from marketflow.operators.dimension import enrich
 from marketflow.operators.feed import classify, normalize_trades, parse_books, unfold_levels
 from marketflow.operators.joins import fits_broadcast
-from marketflow.session import pinned
 from marketflow.sources.messages import read_messages
-from marketflow.sources.tables import load, write_levels, write_trades
+from marketflow.sources.snapshots import newest_tokens
+from marketflow.sources.tables import write_levels, write_rollups, write_trades
 
 log = logging.getLogger(__name__)
 
@@ -34,6 +33,7 @@ class IngestConfig:
     options: dict = field(default_factory=dict)
     flush: str = "1 second"
     sync_seconds: int = 300
+    rollups: bool = True
     available_now: bool = False
 
 
@@ -83,14 +83,8 @@ class IngestStats(StreamingQueryListener):
 
 
 def refresh_dimension(spark: SparkSession, root: str) -> DataFrame | None:
-    """Token map of the newest market versions, written to the checkpoint folder; None before the first sync."""
-    try:
-        markets = load(spark, root, "markets_dim")
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return None
-    return pinned(token_map(markets))
+    """Token map of the newest market versions, from the snapshot and the versions that came since; None before the first sync."""
+    return newest_tokens(spark, root)
 
 
 class _Batches:
@@ -137,6 +131,8 @@ class _Batches:
 
             write_trades(observed(good_trades, "trades_written"), cfg.root, self.writer_id, batch_id, cluster=False)
             write_levels(observed(good_levels, "levels_written"), cfg.root, self.writer_id, batch_id, cluster=False)
+            if cfg.rollups:
+                write_rollups(good_trades, good_levels, cfg.root, self.writer_id, batch_id)
             observed(bad, "rejected").write.mode("overwrite").parquet(
                 f"{cfg.root}/rejected_events/writer={self.writer_id}/batch_id={batch_id}"
             )
