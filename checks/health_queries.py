@@ -2,7 +2,9 @@
 
 from checks.registry import AS_OF, add
 from marketflow.plans import health as q
-from marketflow.plans.health import WINDOWS
+
+# Written out, so that a change of the code under test shows.
+WINDOWS = {"rows_30s": "30 SECONDS", "rows_2m": "2 MINUTES", "rows_5m": "5 MINUTES", "rows_1h": "1 HOUR"}
 
 
 def _fresh(table: str, name: str) -> str:
@@ -59,3 +61,28 @@ for _table in ("trades", "levels"):
                    max(exchange_ts) AS last_record FROM {_table} GROUP BY month ORDER BY month DESC LIMIT 10""",
         _table,
     )
+
+
+def _alarm(moment: str, minutes: int) -> str:
+    since = f"exchange_ts > {moment} - INTERVAL {minutes} MINUTE"
+    return f"""
+SELECT *, (epoch_ms({moment}) - epoch_ms(last_ts)) / CAST(1000 AS DOUBLE) AS age_seconds,
+       CASE WHEN last_ts IS NULL THEN 'no data' WHEN epoch_ms({moment}) - epoch_ms(last_ts) > 120000 THEN 'stopped'
+            ELSE 'flowing' END AS alarm
+FROM (SELECT (SELECT count(*) FROM trades WHERE {since}) AS trades_rows,
+             (SELECT count(*) FROM levels WHERE {since}) AS levels_rows,
+             coalesce((SELECT max(exchange_ts) FROM trades WHERE {since}),
+                      (SELECT max(exchange_ts) FROM levels WHERE {since})) AS last_ts)"""
+
+
+# As of the newest event, as of ten minutes after it (stale within an hour), and as of a week after it (no data).
+for _name, _as_of, _minutes in (("", AS_OF, 5), ("_stopped", f"({AS_OF} + INTERVAL 10 MINUTE)", 60), ("_no_data", f"({AS_OF} + INTERVAL 7 DAY)", 5)):
+    add(
+        f"flow_alarm{_name}",
+        lambda t, name=_name, minutes=_minutes: q.flow_alarm(
+            t.trades, t.levels, t.later({"": "0 MINUTES", "_stopped": "10 MINUTES", "_no_data": "7 DAYS"}[name]), f"{minutes} MINUTES"
+        ),
+        _alarm(_as_of, _minutes),
+        "trades",
+        "levels",
+    )

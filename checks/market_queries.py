@@ -176,6 +176,17 @@ add(
     "trades",
     "levels",
 )
+for _name, _text in (("search_markets_indexed", "HOT"), ("search_markets_indexed_pattern", "RED wi_get%r2")):
+    add(
+        _name,
+        lambda t, text=_text: q.search_markets(t.markets, t.trades, t.levels, text, index=q.search_index(t.markets)),
+        f""", hits AS (SELECT market_id, condition_id, question, category, computed_category FROM latest
+                      WHERE question ILIKE '%{_text}%' ORDER BY question, market_id LIMIT 20)"""
+        + _COUNTS,
+        "latest",
+        "trades",
+        "levels",
+    )
 add(
     "first_markets",
     lambda t: q.first_markets(t.markets),

@@ -215,3 +215,7 @@ class Tables:
     def as_of(self) -> str:
         """The newest event: the query time of all look-backs."""
         return self.events.agg(F.max("ts").cast("string")).first()[0]
+
+    def later(self, interval: str) -> str:
+        """A time after the newest event."""
+        return self.events.agg((F.max("ts") + F.expr(f"INTERVAL {interval}")).cast("string")).first()[0]

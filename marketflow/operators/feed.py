@@ -113,7 +113,7 @@ def normalize_trades(trades: DataFrame) -> DataFrame:
         _amount("price").alias("price"),
         _amount("size").alias("size"),
         _first_key("outcome").alias("outcome"),
-        F.coalesce(_t("outcome_index").try_cast("short"), F.lit(0)).cast("short").alias("outcome_index"),
+        F.when(has("outcome_index"), _t("outcome_index").try_cast("short")).otherwise(F.lit(0)).cast("short").alias("outcome_index"),
         _first_key("id", "trade_id").alias("trade_id"),
         _first_key("maker").alias("maker_address"),
         _first_key("taker").alias("taker_address"),
@@ -124,6 +124,7 @@ def normalize_trades(trades: DataFrame) -> DataFrame:
         F.when(F.col("exchange_ts").isNull(), "time out of range")
         .when(F.col("price").isNull() | F.col("size").isNull(), "price or size is not a number")
         .when(F.col("side").isNull() | ~F.col("side").isin(*SIDES), "unknown side")
+        .when(~F.coalesce(F.col("outcome_index").between(0, 255), F.lit(False)), "outcome_index is no number from 0 to 255")
     )
     return rows.withColumn("reject", reject)
 

@@ -29,6 +29,23 @@ def freshness(trades: DataFrame, levels: DataFrame, as_of=None) -> DataFrame:
     return report(trades, "trades_raw").unionByName(report(levels, "orderbook_levels"))
 
 
+def flow_alarm(trades: DataFrame, levels: DataFrame, as_of=None, interval: str = "5 MINUTES", stale_seconds: int = 120) -> DataFrame:
+    """One row: rows of the last minutes in both tables, the newest of them (a trade if there is one), its age, and the
+    alarm: `no data`, `stopped` if it is older than `stale_seconds`, else `flowing`. Both scans read the interval only."""
+    now = moment(as_of)
+
+    def recent(df: DataFrame, table: str) -> DataFrame:
+        rows = lookback(df, as_of, interval, inclusive=False)
+        return rows.agg(F.count(F.lit(1)).alias(f"{table}_rows"), F.max("exchange_ts").alias(f"{table}_ts"))
+
+    both = recent(trades, "trades").unionByName(recent(levels, "levels"), allowMissingColumns=True)
+    row = both.agg(*[F.max(c).alias(c) for c in both.columns])
+    last = F.coalesce("trades_ts", "levels_ts")
+    age = (F.unix_millis(now) - F.unix_millis(last)) / F.lit(1000.0)
+    alarm = F.when(last.isNull(), "no data").when(age > stale_seconds, "stopped").otherwise("flowing")
+    return row.select("trades_rows", "levels_rows", last.alias("last_ts"), age.alias("age_seconds"), alarm.alias("alarm"))
+
+
 def recent_tokens(trades: DataFrame, levels: DataFrame, as_of=None, interval: str = "1 HOUR") -> DataFrame:
     """Tokens seen in the last hour, with the table they were seen in."""
     parts = [

@@ -14,8 +14,11 @@ from marketflow.functions.aggregates import rounded
 from marketflow.functions.metrics import notional
 from marketflow.operators.dimension import latest, latest_by_condition, with_market
 from marketflow.operators.filters import active_only, lookback, matches, non_empty, optional_eq, scoped, top
+from marketflow.operators.search import find, postings
 from marketflow.session import pinned
 
+MOST_HITS = 10_000  # of a search: its hits are broadcast
+
 
 def _value() -> Column:
     return notional(F.col("price"), F.col("size"))
@@ -209,16 +212,27 @@ def _newest_by_market(markets: DataFrame, *columns: str) -> DataFrame:
     return latest(markets, ["market_id"], list(columns))
 
 
+def search_index(markets: DataFrame) -> DataFrame:
+    """Search index of the questions of the newest versions, for `search_markets`."""
+    return postings(_newest_by_market(markets, "question").filter(F.col("market_id").isNotNull()), ["market_id"], "question")
+
+
 def search_markets(
-    markets: DataFrame, trades: DataFrame, levels: DataFrame, text: str, limit: int = 20
+    markets: DataFrame, trades: DataFrame, levels: DataFrame, text: str, limit: int = 20, index: DataFrame | None = None
 ) -> DataFrame:
     """Markets whose question contains `text` (any case), with trade count, first and last trade, book rows.
 
     The hits are at most `limit` rows: they are found once, and broadcast to cut both fact tables before these
-    are counted.
+    are counted. With `index`, the questions to compare come from the intersected lists of the search index.
     """
+    if not 0 <= limit <= MOST_HITS:
+        raise ValueError(f"limit must be from 0 to {MOST_HITS}")
     newest = _newest_by_market(markets, "condition_id", "question", "category", "computed_category")
-    hits = pinned(matches(newest, "question", text).orderBy("question", "market_id").limit(limit))
+    if index is None:
+        found = matches(newest, "question", text)
+    else:
+        found = find(newest.filter(F.col("market_id").isNotNull()), index, ["market_id"], "question", text)
+    hits = pinned(found.orderBy("question", "market_id").limit(limit))
     wanted = F.broadcast(hits.select("condition_id").distinct())
     traded = (
         trades.join(wanted, "condition_id", "left_semi")

@@ -1,7 +1,7 @@
 """Newest market versions and the token map, kept up to date from new version batches only.
 
 `<root>/markets_snapshot/generation=<n>/` holds `markets` (the newest version of every market), `tokens` (the newest
-market that lists each token) and `files` (the files of the versions table that are merged in). A refresh reads the last
+market that lists each token), `grams` (the search index of the questions) and `files` (the files of the versions table that are merged in). A refresh reads the last
 generation and the files that came since: rows whose key the new files touch are compared with them, all others pass
 without a shuffle while the touched keys are few. `files` is written last, so a generation without it does not count. If
 a merged file is gone (its batch was repeated, or the table compacted), the generation is made anew from all versions,
@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketflow.operators.dimension import latest, latest_markets, latest_tokens, listed_tokens
+from marketflow.operators.search import find, postings
 from marketflow.schemas import TABLES
 from marketflow.sources import folders
 from marketflow.sources.tables import load
@@ -79,6 +80,8 @@ def refresh(spark: SparkSession, root: str) -> int | None:
     number = (done[-1] if done else -1) + 1
     base = f"{root}/{FOLDER}/generation={number}"
     markets.sortWithinPartitions("condition_id").write.mode("overwrite").parquet(f"{base}/markets")
+    grams = postings(spark.read.parquet(f"{base}/markets"), MARKET, "question")
+    grams.repartitionByRange("gram", *MARKET).sortWithinPartitions("gram").write.mode("overwrite").parquet(f"{base}/grams")
     tokens.sortWithinPartitions("token_id").write.mode("overwrite").parquet(f"{base}/tokens")
     spark.createDataFrame([(f,) for f in sorted(files)], "file string").coalesce(1).write.mode("overwrite").parquet(f"{base}/files")
     for g in folders.children(spark, f"{root}/{FOLDER}"):
@@ -93,6 +96,14 @@ def newest_markets(spark: SparkSession, root: str) -> DataFrame | None:
     return None if number is None else _read(spark, root, number, "markets")
 
 
+def search(spark: SparkSession, root: str, text: str) -> DataFrame | None:
+    """Newest versions of the markets whose question contains `text`, by the search index."""
+    number = refresh(spark, root)
+    if number is None:
+        return None
+    return find(_read(spark, root, number, "markets"), _read(spark, root, number, "grams"), MARKET, "question", text)
+
+
 def newest_tokens(spark: SparkSession, root: str) -> DataFrame | None:
     """token_id, condition_id, market_id of the newest version that lists each token."""
     number = refresh(spark, root)

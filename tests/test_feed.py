@@ -93,6 +93,11 @@ def test_trade_fallbacks(spark):
         ({"price": None}, "price or size is not a number"),
         ({"size": "1d"}, "price or size is not a number"),
         ({"side": "buy"}, "unknown side"),
+        ({"outcome_index": 256}, "outcome_index is no number from 0 to 255"),
+        ({"outcome_index": -1}, "outcome_index is no number from 0 to 255"),
+        ({"outcome_index": "first"}, "outcome_index is no number from 0 to 255"),
+        ({"outcome_index": 10**9}, "outcome_index is no number from 0 to 255"),
+        ({"outcome_index": "255"}, None),
         ({"side": None}, "unknown side"),
         ({"timestamp": 10**20}, "time out of range"),
     ],
