@@ -15,13 +15,13 @@ import numpy as np
 import pyarrow as pa
 
 Key = tuple[bytes, ...]
-# A transducer as columns. State s has the arcs first[s] to first[s + 1]; final is the weight at its end, -1 if no key
+# A transducer as columns, for counts of one shard (below 2^31). State s has the arcs first[s] to first[s + 1]; final is the weight at its end, -1 if no key
 # ends there; the last state is the root.
 COLUMNS = {
     "labels": pa.list_(pa.binary()), "first": pa.list_(pa.int32()), "label": pa.list_(pa.int32()), "target": pa.list_(pa.int32()),
-    "weight": pa.list_(pa.int64()), "final": pa.list_(pa.int64()),
+    "weight": pa.list_(pa.int32()), "final": pa.list_(pa.int32()),
 }
-TYPES = "labels array<binary>, first array<int>, label array<int>, target array<int>, weight array<long>, final array<long>"
+TYPES = "labels array<binary>, first array<int>, label array<int>, target array<int>, weight array<int>, final array<int>"
 
 
 class Transducer:

@@ -25,6 +25,7 @@ are settled by score, a, then the bytes of the phrase. An empty table gives an e
 
 from __future__ import annotations
 
+import zlib
 from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
@@ -40,7 +41,7 @@ from marketflow.llm.common import dropped, scrambled, shuffle_width, stored
 LONGEST = 5  # words of a phrase
 LEAST = 100  # occurrences of a candidate
 TOP = 2000  # phrases of a language
-FLUSH = 3_000_000  # words a task holds before it writes their counts
+FLUSH = 5_000_000  # words a task holds before it writes their counts
 BLOCK = 20_000  # keys of a stored transducer
 FAN = 64  # transducers united at a time
 SALTS = 32
@@ -97,7 +98,7 @@ class Shard:
         """The words in byte order (from 1), and for each language in order its words by rank, 0 between pieces."""
         names = list(self.numbers)
         order = sorted(range(1, len(names)), key=names.__getitem__)
-        rank = np.zeros(len(names), np.int64)
+        rank = np.zeros(len(names), np.int32)
         rank[order] = np.arange(1, len(names))
         return [b"", *(names[i] for i in order)], ((lang, rank[np.concatenate(self.parts[lang])]) for lang in sorted(self.parts))
 
@@ -184,7 +185,8 @@ def borders(docs: DataFrame, parts: int) -> tuple[list[automata.Key], int]:
 
 
 def survey(docs: DataFrame, bits: int, least: int) -> DataFrame:
-    """slot, cells: how often each cell was met in a task, up to `least`, in slices; slices that were not met are left out."""
+    """slot, cells: how often each cell was met in a task, up to `least`, in deflated slices; slices that were not met are left
+    out, so what a task writes grows with its words and not with the number of cells."""
     kind = np.min_scalar_type(least)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -198,7 +200,8 @@ def survey(docs: DataFrame, bits: int, least: int) -> DataFrame:
                     met[order, cell] = np.minimum(met[order, cell] + n, least)
         for slot, cut in enumerate(met.reshape(-1, min(SLICE, 1 << bits))):
             if cut.any():
-                yield pa.RecordBatch.from_arrays([pa.array([slot], pa.int32()), pa.array([cut.tobytes()], pa.binary())], ["slot", "cells"])
+                cells = pa.array([zlib.compress(cut.tobytes(), 1)], pa.binary())  # most cells are 0 or small
+                yield pa.RecordBatch.from_arrays([pa.array([slot], pa.int32()), cells], ["slot", "cells"])
 
     return _texts(docs).mapInArrow(run, "slot int, cells binary")
 
@@ -219,7 +222,7 @@ def kept_cells(cells: DataFrame, bits: int, least: int) -> np.ndarray:
                     if slot is not None:
                         yield out()
                     slot, total = number, np.zeros(width, np.int64)
-                total += np.frombuffer(cut.as_buffer(), kind)
+                total += np.frombuffer(zlib.decompress(cut.as_buffer()), kind)
         if slot is not None:
             yield out()
 
