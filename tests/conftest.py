@@ -13,7 +13,8 @@ SMALL = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
-    session = local_session(8, **{"spark.checkpoint.dir": str(tmp_path_factory.mktemp("checkpoint"))})
+    folders = {"spark.checkpoint.dir": "checkpoint", "spark.sql.warehouse.dir": "warehouse"}
+    session = local_session(8, **{k: str(tmp_path_factory.mktemp(v)) for k, v in folders.items()})
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
