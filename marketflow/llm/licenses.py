@@ -1,11 +1,14 @@
 """License scan: a positional rare-token index over licence phrases and notices.
 
-The library holds short phrases, of which every word must stand in place, and notices, of which most words must. Each
-is indexed by the positions of its words that are rarest in the whole corpus (document frequencies of the licence
-words are counted over all documents first). A file's licence words are looked up rarest first; each posting gives a
-place where the template would begin, places are intersected over the file's words, and the survivors must hold the
-mandatory key phrase (for phrases: all of it) to count. Every occurrence of a phrase is found, since every
-occurrence holds its rarest word.
+The library holds short phrases, of which every word must stand in place, and notices with a mandatory key phrase. The
+document frequencies of the licence words are counted over all documents first. A file's licence words are looked up
+rarest first, and the postings of a template are intersected by relative position:
+
+* Phrases: each word gives the places where the phrase would begin; they are intersected over all its words, so what is
+  left are all places where it stands. A phrase whose rarest word is absent costs nothing.
+* Notices: the words of the key phrase are intersected around each place of its rarest word, in order and with at most
+  `GAP` other words among them. Around a key that is found the notice is aligned to the file, with words put in, left out
+  or replaced, up to `DRIFT` words on each side; it counts if at least `COVER` of its words stand there in order.
 
 Words: letters and digits, A-Z in lower case. Null and empty texts have no words and no labels. Repeated rows get
 equal results; an empty table gives no rows.
@@ -49,56 +52,92 @@ NOTICES = [
     ("cc-by", "creative commons attribution", "this work is licensed under a creative commons attribution 4 0 international license"),
     ("gpl-3.0", "gnu general public license version 3", "licensed under the gnu general public license version 3"),
 ]
-COVER = 0.6  # least share of a notice's words in place
-ANCHORS = 3  # rarest words of a template that may start a match
+COVER = 0.6  # least share of a notice's words that stand in order
+GAP = 3  # other words within a key phrase
+DRIFT = 12  # words by which a notice may be longer on each side of its key phrase
 
 
 class Index:
-    """Templates by their rarest words."""
+    """Templates with their words from the rarest on."""
 
     def __init__(self, rarity: dict[bytes, float]):
         self.templates = [(label, words.encode().split(), words.encode().split(), True) for words, label in PHRASES.items()]
         self.templates += [(label, key.encode().split(), words.encode().split(), False) for label, key, words in NOTICES]
-        self.rarity = rarity
-        self.postings: dict[bytes, list[tuple[int, int]]] = defaultdict(list)
-        for k, (_, key, words, exact) in enumerate(self.templates):
-            rank = sorted(set(key), key=lambda w: (-rarity.get(w, 0.0), w))[: 1 if exact else ANCHORS]
-            for at, w in enumerate(words):
-                if w in rank:
-                    self.postings[w].append((k, at))
+        self.order = [sorted(range(len(key)), key=lambda i: (-rarity.get(key[i], 0.0), key[i], i)) for _, key, _, _ in self.templates]
+        self.postings: dict[bytes, list[int]] = defaultdict(list)  # templates by the rarest word of their keys
+        for k, (_, key, _, _) in enumerate(self.templates):
+            self.postings[key[self.order[k][0]]].append(k)
+        self.words = {w for _, key, _, _ in self.templates for w in key}
 
     def scan(self, words: list[bytes]) -> tuple[dict[int, list[int]], dict[int, list[tuple[int, float]]]]:
         """Places of phrases, and places with coverage of notices, by number of the template."""
-        present = self.postings.keys() & set(words)
-        if not present:
+        present = self.words.intersection(words)
+        wanted = [k for w in present & self.postings.keys() for k in self.postings[w] if present.issuperset(self.templates[k][1])]
+        if not wanted:
             return {}, {}
-        begins: dict[int, set[int]] = defaultdict(set)
         places: dict[bytes, list[int]] = defaultdict(list)
         for i, w in enumerate(words):
             if w in present:
                 places[w].append(i)
-        for w in sorted(present, key=lambda w: (-self.rarity.get(w, 0.0), w)):
-            for k, at in self.postings[w]:
-                begins[k].update(i - at for i in places[w])
         phrases, notices = {}, {}
-        for k, starts in begins.items():
+        for k in wanted:
             _, key, template, exact = self.templates[k]
-            n = len(template)
             if exact:
-                # the same template word may stand twice: every start is checked against all words
-                if found := sorted(s for s in starts if s >= 0 and words[s : s + n] == template):
+                if found := self._intersected(k, places):
                     phrases[k] = found
-                continue
-            for s in sorted(starts):
-                begin, end = max(0, s), min(len(words), s + n)
-                same = sum(words[i] == template[i - s] for i in range(begin, end))
-                if same >= COVER * n and _holds(words[begin:end], key):
-                    notices.setdefault(k, []).append((s, same / n))
+            elif found := [(s, c) for s, c in self._aligned(key, template, self._keys(k, places, words), words) if c >= COVER]:
+                notices[k] = found
         return phrases, notices
 
-
-def _holds(words: list[bytes], key: list[bytes]) -> bool:
-    return any(words[i : i + len(key)] == key for i in range(len(words) - len(key) + 1))
+    def _intersected(self, k: int, places: dict[bytes, list[int]]) -> list[int]:
+        """Starts that all words of a phrase agree on."""
+        key = self.templates[k][1]
+        first, *rest = self.order[k]
+        starts = {i - first for i in places[key[first]]}
+        for at in rest:
+            starts &= {i - at for i in places[key[at]]}
+            if not starts:
+                break
+        return sorted(starts)
+
+    def _keys(self, k: int, places: dict[bytes, list[int]], words: list[bytes]) -> list[tuple[int, int]]:
+        """First and last place of each key phrase: the nearest key words in order around each place of the rarest."""
+        key, order, found = self.templates[k][1], self.order[k], set()
+        for at in (i for i in range(len(key)) if key[i] == key[order[0]]):
+            starts = {i - at for i in places[key[at]]}
+            for other in order[1:]:  # rarest first; a start stays while each word agrees with it up to the gap
+                near = {i - other + d for i in places[key[other]] for d in range(-GAP, GAP + 1)}
+                starts &= near
+            for s in starts:
+                low = high = s + at
+                for w in key[at + 1 :]:
+                    high = next((i for i in range(high + 1, min(len(words), low + len(key) + GAP)) if words[i] == w), len(words))
+                for w in reversed(key[:at]):
+                    low = next((i for i in range(low - 1, max(-1, high - len(key) - GAP), -1) if words[i] == w), -len(words))
+                if 0 <= low and high < len(words) and high - low < len(key) + GAP:
+                    found.add((low, high))
+        return sorted(found)
+
+    @staticmethod
+    def _aligned(key: list[bytes], template: list[bytes], keys: list[tuple[int, int]], words: list[bytes]) -> Iterator[tuple[int, float]]:
+        """Start and coverage of the notice around each of its key phrases."""
+        before = next((i for i in range(len(template)) if template[i : i + len(key)] == key), 0)
+        after = len(template) - before - len(key)
+        for low, high in keys:
+            part = words[max(0, low - before - DRIFT) : high + 1 + after + DRIFT]
+            yield max(0, low - before), in_order(template, part) / len(template)
+
+
+def in_order(a: list[bytes], b: list[bytes]) -> int:
+    """Length of the longest common subsequence."""
+    row = [0] * (len(b) + 1)
+    for x in a:
+        corner = 0
+        for j, y in enumerate(b, 1):
+            up = row[j]
+            row[j] = corner + 1 if x == y else max(up, row[j - 1])
+            corner = up
+    return row[-1]
 
 
 def vocabulary() -> set[bytes]:
