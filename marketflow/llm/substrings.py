@@ -38,8 +38,8 @@ from marketflow.llm.suffixes import Text
 LENGTH = 50
 GRAM = 24
 CROWD = 64
-CHUNK = 1 << 20
-FLUSH = 1 << 19  # anchors or strings that a task holds before it sends them
+CHUNK = 1 << 19
+FLUSH = 1 << 18  # anchors or strings that a task holds before it sends them
 BUCKET_BYTES = 64 << 20  # text per bucket
 LOW48 = U((1 << 48) - 1)
 SETTLED, CONTESTED, CROWDED = 0, 1, 2
