@@ -168,20 +168,23 @@ def _in_shards(batches: Iterator[pa.RecordBatch]) -> Iterator[Shard]:
 
 
 def borders(docs: DataFrame, parts: int) -> tuple[list[automata.Key], int]:
-    """Keys that part the ranges, and the bytes of all texts."""
-    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    """Keys that part the ranges, and the bytes of all texts. The sample is one place of each distinct text whose hash is
+    low enough that about 64 for each range, and SAMPLE in all, come to the driver."""
+    found = docs.where("text IS NOT NULL").agg(F.sum(F.octet_length("text")).alias("size"), F.count("*").alias("n")).first()
+    share = min(1.0, min(SAMPLE, 64 * parts) / max(1, found.n))
     text, h = F.col("text").cast("string"), F.xxhash64("text")
     place = F.substring(text, F.pmod(h, F.greatest(F.length(text), F.lit(1))).cast("int") + 1, F.lit(160))
     lang = F.coalesce(F.col("lang").cast("string"), F.lit("und")).cast("binary")
-    drawn = docs.where("text IS NOT NULL").select(lang.alias("lang"), place.cast("binary").alias("at"), h.alias("h"))
-    found = set()
-    for r in drawn.orderBy("h", "lang").limit(min(SAMPLE, 64 * parts)).collect():
+    low = docs.where(F.col("text").isNotNull() & (h <= F.lit(int(share * 2**64) - 2**63 - 1)))
+    drawn = low.select(F.struct(lang.alias("lang"), place.cast("binary").alias("at")).alias("s"), h.alias("h"))
+    keys = set()
+    for (r,) in drawn.groupBy("h").agg(F.min("s").alias("s")).select("s").collect():
         words = [w for part in tokens(bytes(r.at)) for w in part][1:]
         key = words[: words.index(b".")] if b"." in words else words
         if key:
-            found.add((bytes(r.lang), *key[:3]))
-    ordered = sorted(found)
-    return sorted({ordered[len(ordered) * i // parts] for i in range(1, parts)}) if ordered else [], size
+            keys.add((bytes(r.lang), *key[:3]))
+    ordered = sorted(keys)
+    return sorted({ordered[len(ordered) * i // parts] for i in range(1, parts)}) if ordered else [], found["size"] or 0
 
 
 def survey(docs: DataFrame, bits: int, least: int) -> DataFrame:
