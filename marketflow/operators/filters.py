@@ -79,8 +79,9 @@ def active_only(df: DataFrame) -> DataFrame:
     return df.filter(F.col("active") == 1)
 
 
-def in_time_order(df: DataFrame, *ties: str, col: str = "exchange_ts") -> DataFrame:
-    return df.orderBy(col, *ties)
+def in_series_order(df: DataFrame, market: str | None, ordered: bool | None, *columns: str) -> DataFrame:
+    """The rows of one market in order; those of all markets only if `ordered` asks for it, as that sorts all rows."""
+    return df.orderBy(*columns) if (market is not None if ordered is None else ordered) else df
 
 
 def top(df: DataFrame, by: str, k: int, *ties: str) -> DataFrame:

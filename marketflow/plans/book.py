@@ -1,7 +1,8 @@
 """Order-book queries: series per snapshot and level, summaries per level, probabilities, depth.
 
-Summaries compute both sides in one aggregation per (market, token, level) and unfold the small result,
-instead of doubling the rows before it.
+Series of one market are in order; those of all markets are ordered only if `ordered` asks for it. Summaries compute
+both sides in one aggregation per (market, token, level) and unfold the small result, instead of doubling the rows
+before it.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ from marketflow.functions.metrics import (
 from marketflow.operators.book import bbo_1s, both_sides
 from marketflow.operators.dimension import with_yes_no
 from marketflow.operators.distribution import heatmap
-from marketflow.operators.filters import at_level, lookback, optional_eq, scoped, up_to_level, with_book
+from marketflow.operators.filters import at_level, in_series_order, lookback, optional_eq, scoped, up_to_level, with_book
 from marketflow.operators.joins import within_band
 
 TOKEN = ["condition_id", "token_id"]
@@ -61,23 +62,26 @@ def bbo_df(levels: DataFrame, as_of=None, market: str | None = None, hours: int
     return series.orderBy("ts_bucket", *TOKEN)
 
 
-def _series(rows: DataFrame, value: Column, name: str) -> DataFrame:
-    return rows.select(*TOKEN, "exchange_ts", "level", value.cast("double").alias(name)).orderBy(
-        *TOKEN, "exchange_ts", "level"
-    )
+def _series(rows: DataFrame, value: Column, name: str, market, ordered) -> DataFrame:
+    out = rows.select(*TOKEN, "exchange_ts", "level", value.cast("double").alias(name))
+    return in_series_order(out, market, ordered, *TOKEN, "exchange_ts", "level")
 
 
-def price_levels(levels: DataFrame, market=None, token=None, span=None) -> DataFrame:
+def price_levels(levels: DataFrame, market=None, token=None, span=None, ordered: bool | None = None) -> DataFrame:
     rows = scoped(levels, market, token, span)
-    return rows.select(*TOKEN, "exchange_ts", "level", "bid_px", "ask_px").orderBy(*TOKEN, "exchange_ts", "level")
+    out = rows.select(*TOKEN, "exchange_ts", "level", "bid_px", "ask_px")
+    return in_series_order(out, market, ordered, *TOKEN, "exchange_ts", "level")
 
 
-def size_levels(levels: DataFrame, market=None, token=None, span=None) -> DataFrame:
+def size_levels(levels: DataFrame, market=None, token=None, span=None, ordered: bool | None = None) -> DataFrame:
     rows = scoped(levels, market, token, span)
-    return rows.select(*TOKEN, "exchange_ts", "level", "bid_sz", "ask_sz").orderBy(*TOKEN, "exchange_ts", "level")
+    out = rows.select(*TOKEN, "exchange_ts", "level", "bid_sz", "ask_sz")
+    return in_series_order(out, market, ordered, *TOKEN, "exchange_ts", "level")
 
 
-def labelled_levels(levels: DataFrame, what: str = "price", depth: int = 3, market=None, token=None, span=None) -> DataFrame:
+def labelled_levels(
+    levels: DataFrame, what: str = "price", depth: int = 3, market=None, token=None, span=None, ordered: bool | None = None
+) -> DataFrame:
     """The chart series of the first `depth` levels, one row per side and present value. `what`: price or size."""
     bid, ask = PX if what == "price" else SZ
     suffix = "" if what == "price" else "_size"
@@ -85,7 +89,8 @@ def labelled_levels(levels: DataFrame, what: str = "price", depth: int = 3, mark
     label = F.when(F.col("side") == "bid", level_label(F.col("level"), f"bid{suffix}")).otherwise(
         level_label(F.col("level"), f"ask{suffix}")
     )
-    return rows.select(*TOKEN, "exchange_ts", label.alias("series"), "value").orderBy(*TOKEN, "exchange_ts", "series")
+    out = rows.select(*TOKEN, "exchange_ts", label.alias("series"), "value")
+    return in_series_order(out, market, ordered, *TOKEN, "exchange_ts", "series")
 
 
 def _two_sided(levels: DataFrame, bid: str, ask: str, labels: tuple, columns) -> DataFrame:
@@ -130,8 +135,8 @@ def _summary(rows: DataFrame, metric: str, *columns: Column) -> DataFrame:
     return rows.groupBy(*TOKEN, "level").agg(*columns).select("*", name).orderBy(*TOKEN, "level")
 
 
-def mid_series(levels: DataFrame, market=None, token=None, span=None) -> DataFrame:
-    return _series(with_book(scoped(levels, market, token, span), *PX), _mid(), "mid")
+def mid_series(levels: DataFrame, market=None, token=None, span=None, ordered: bool | None = None) -> DataFrame:
+    return _series(with_book(scoped(levels, market, token, span), *PX), _mid(), "mid", market, ordered)
 
 
 def mid_summary(levels: DataFrame, market=None, token=None, span=None) -> DataFrame:
@@ -144,8 +149,8 @@ def mid_summary(levels: DataFrame, market=None, token=None, span=None) -> DataFr
     )
 
 
-def imbalance_series(levels: DataFrame, market=None, token=None, span=None) -> DataFrame:
-    return _series(with_book(scoped(levels, market, token, span), *SZ), _imbalance(), "imbalance")
+def imbalance_series(levels: DataFrame, market=None, token=None, span=None, ordered: bool | None = None) -> DataFrame:
+    return _series(with_book(scoped(levels, market, token, span), *SZ), _imbalance(), "imbalance", market, ordered)
 
 
 def imbalance_summary(levels: DataFrame, market=None, token=None, span=None) -> DataFrame:
@@ -159,8 +164,8 @@ def imbalance_summary(levels: DataFrame, market=None, token=None, span=None) ->
     )
 
 
-def spread_series(levels: DataFrame, market=None, token=None, span=None) -> DataFrame:
-    return _series(with_book(scoped(levels, market, token, span), *PX), _spread(), "spread")
+def spread_series(levels: DataFrame, market=None, token=None, span=None, ordered: bool | None = None) -> DataFrame:
+    return _series(with_book(scoped(levels, market, token, span), *PX), _spread(), "spread", market, ordered)
 
 
 def spread_summary(levels: DataFrame, market=None, token=None, span=None) -> DataFrame:
@@ -173,8 +178,8 @@ def spread_summary(levels: DataFrame, market=None, token=None, span=None) -> Dat
     )
 
 
-def liquidity_series(levels: DataFrame, market=None, token=None, span=None) -> DataFrame:
-    return _series(with_book(scoped(levels, market, token, span), *SZ), _liquidity(), "liquidity")
+def liquidity_series(levels: DataFrame, market=None, token=None, span=None, ordered: bool | None = None) -> DataFrame:
+    return _series(with_book(scoped(levels, market, token, span), *SZ), _liquidity(), "liquidity", market, ordered)
 
 
 def liquidity_summary(levels: DataFrame, market=None, token=None, span=None) -> DataFrame:
@@ -192,13 +197,13 @@ def _touch(levels: DataFrame, columns: tuple, market, token, span) -> DataFrame:
     return with_book(at_level(scoped(levels, market, token, span), 1), *columns)
 
 
-def probability_series(levels: DataFrame, market=None, token=None, span=None) -> DataFrame:
+def probability_series(levels: DataFrame, market=None, token=None, span=None, ordered: bool | None = None) -> DataFrame:
     """YES (mid) and NO (1 − mid) series from level 1."""
     rows = _touch(levels, PX, market, token, span).select(*TOKEN, "exchange_ts", _mid().cast("double").alias("mid"))
     sides = F.stack(
         F.lit(2), F.lit("YES Probability"), F.col("mid"), F.lit("NO Probability"), 1 - F.col("mid")
     ).alias("series", "value")
-    return rows.select(*TOKEN, "exchange_ts", sides).orderBy(*TOKEN, "exchange_ts", "series")
+    return in_series_order(rows.select(*TOKEN, "exchange_ts", sides), market, ordered, *TOKEN, "exchange_ts", "series")
 
 
 def current_probability(levels: DataFrame, market=None, token=None, span=None) -> DataFrame:
@@ -220,7 +225,7 @@ def market_pressure(levels: DataFrame, market=None, token=None, span=None) -> Da
     return value.select("*", pressure(F.col("avg_imbalance")).alias("pressure"))
 
 
-def unified_yes_axis(levels: DataFrame, markets: DataFrame, market=None, span=None) -> DataFrame:
+def unified_yes_axis(levels: DataFrame, markets: DataFrame, market=None, span=None, ordered: bool | None = None) -> DataFrame:
     """Level-1 mids of both tokens on the YES axis: first token mid, second 1 − mid, any other null."""
     rows = with_yes_no(
         _touch(levels, PX, market, None, span).select(*TOKEN, "exchange_ts", "level", _mid().cast("double").alias("mid")),
@@ -229,20 +234,18 @@ def unified_yes_axis(levels: DataFrame, markets: DataFrame, market=None, span=No
     yes = F.when(F.col("token_id") == F.col("yes_token"), F.col("mid")).when(
         F.col("token_id") == F.col("no_token"), 1 - F.col("mid")
     )
-    return rows.select(*TOKEN, "exchange_ts", "level", yes.alias("yes_probability")).orderBy(
-        "condition_id", "exchange_ts", "token_id"
-    )
+    out = rows.select(*TOKEN, "exchange_ts", "level", yes.alias("yes_probability"))
+    return in_series_order(out, market, ordered, "condition_id", "exchange_ts", "token_id")
 
 
-def ask_depth(levels: DataFrame, band: float = 0.10, market=None, token=None, span=None) -> DataFrame:
+def ask_depth(levels: DataFrame, band: float = 0.10, market=None, token=None, span=None, ordered: bool | None = None) -> DataFrame:
     """Asks within `band` of the touch, in thousands of shares, per snapshot."""
     depth = within_band(scoped(levels, market, token, span), band)
-    return depth.select(*TOKEN, "exchange_ts", thousands(F.col("depth")).alias("ask_depth")).orderBy(
-        *TOKEN, "exchange_ts"
-    )
+    out = depth.select(*TOKEN, "exchange_ts", thousands(F.col("depth")).alias("ask_depth"))
+    return in_series_order(out, market, ordered, *TOKEN, "exchange_ts")
 
 
-def depth_points(levels: DataFrame, market=None, token=None, span=None, depth: int = 10) -> DataFrame:
+def depth_points(levels: DataFrame, market=None, token=None, span=None, depth: int = 10, ordered: bool | None = None) -> DataFrame:
     """Raw depth heat-map points: minute, level as text, liquidity."""
     rows = with_book(up_to_level(scoped(levels, market, token, span), depth), *SZ)
     out = rows.select(
@@ -253,7 +256,7 @@ def depth_points(levels: DataFrame, market=None, token=None, span=None, depth: i
         level_text(F.col("level")).alias("level"),
         _liquidity().cast("double").alias("liquidity"),
     )
-    return out.orderBy("exchange_ts", *TOKEN, "_level").drop("exchange_ts", "_level")
+    return in_series_order(out, market, ordered, "exchange_ts", *TOKEN, "_level").drop("exchange_ts", "_level")
 
 
 def depth_heatmap(levels: DataFrame, every: str = "1 minute", market=None, token=None, span=None, depth: int = 10) -> DataFrame:
@@ -271,10 +274,11 @@ def book_updates_per_minute(levels: DataFrame, market=None, span=None) -> DataFr
     return out.orderBy("time")
 
 
-def quote_series(levels: DataFrame, market=None, span=None) -> DataFrame:
+def quote_series(levels: DataFrame, market=None, span=None, ordered: bool | None = None) -> DataFrame:
     """Level-1 quotes of all tokens of a market that have a bid."""
     rows = _touch(levels, ("bid_px",), market, None, span)
-    return rows.select(*TOKEN, "exchange_ts", "level", "bid_px", "ask_px").orderBy(*TOKEN, "exchange_ts")
+    out = rows.select(*TOKEN, "exchange_ts", "level", "bid_px", "ask_px")
+    return in_series_order(out, market, ordered, *TOKEN, "exchange_ts")
 
 
 def level_stats(levels: DataFrame, market=None, token=None, span=None) -> DataFrame:

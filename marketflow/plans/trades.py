@@ -1,6 +1,7 @@
 """Trade queries.
 
-`span` is a closed (from, to) time range. With no market or token the keys lead the result columns.
+`span` is a closed (from, to) time range. With no market or token the keys lead the result columns. Series of one market
+are in order; those of all markets are ordered only if `ordered` asks for it.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from marketflow.functions.metrics import bucket, hour_of, minute_of, notional, s
 from marketflow.operators.distribution import heatmap, histogram
 from marketflow.operators.filters import (
     at_level,
-    in_time_order,
+    in_series_order,
     lookback,
     non_empty,
     optional_eq,
@@ -46,15 +47,11 @@ def _keys(by_token: bool) -> list[str]:
     return TOKEN if by_token else ["condition_id"]
 
 
-def trades_df(trades: DataFrame, as_of=None, market: str | None = None, hours: int = 24) -> DataFrame:
+def trades_df(trades: DataFrame, as_of=None, market: str | None = None, hours: int = 24, ordered: bool | None = None) -> DataFrame:
     """Trades of the last hours with their notional, in time order."""
     rows = lookback(optional_eq(trades, "condition_id", market), as_of, f"{hours} HOURS", inclusive=False)
-    return in_time_order(
-        rows.select(
-            "exchange_ts", "market_id", *TOKEN, "price", "size", _value().alias("notional"), "side", "trade_id"
-        ),
-        "trade_id",
-    )
+    out = rows.select("exchange_ts", "market_id", *TOKEN, "price", "size", _value().alias("notional"), "side", "trade_id")
+    return in_series_order(out, market, ordered, "exchange_ts", "trade_id")
 
 
 def market_profile(trades: DataFrame, as_of=None, market: str | None = None, hours: int = 24) -> DataFrame:
@@ -120,11 +117,12 @@ def cumulative_volume(
     market: str | None = None,
     token: str | None = None,
     span: tuple | None = None,
+    ordered: bool | None = None,
 ) -> DataFrame:
     """Running notional, one row per trade; trades of equal time share one value."""
     keys = _keys(by_token)
     out = cumulative(scoped(trades, market, token, span), {"cum_volume": _value()}, keys)
-    return out.orderBy(*keys, "exchange_ts")
+    return in_series_order(out, market, ordered, *keys, "exchange_ts")
 
 
 def cumulative_delta(
@@ -133,18 +131,19 @@ def cumulative_delta(
     market: str | None = None,
     token: str | None = None,
     span: tuple | None = None,
+    ordered: bool | None = None,
 ) -> DataFrame:
     """Running signed notional, with the running notional from the same pass if wanted."""
     values = {"cum_volume": _value()} if with_volume else {}
     out = cumulative(scoped(trades, market, token, span), {**values, "cum_delta": _signed()}, TOKEN)
-    return out.orderBy(*TOKEN, "exchange_ts")
+    return in_series_order(out, market, ordered, *TOKEN, "exchange_ts")
 
 
-def cumulative_rows(trades: DataFrame, market: str | None = None, span: tuple | None = None) -> DataFrame:
+def cumulative_rows(trades: DataFrame, market: str | None = None, span: tuple | None = None, ordered: bool | None = None) -> DataFrame:
     """Running notional one trade at a time, per market, in (exchange_ts, trade_id) order."""
     rows = scoped(trades, market, None, span).select("condition_id", "exchange_ts", "trade_id", _value().alias("notional"))
     out = running_rows(rows, {"cum_volume": F.col("notional")}, ["condition_id"], ["exchange_ts", "trade_id"])
-    return out.orderBy("condition_id", "exchange_ts", "trade_id")
+    return in_series_order(out, market, ordered, "condition_id", "exchange_ts", "trade_id")
 
 
 def top_takers(
@@ -194,12 +193,12 @@ def latency_overall(trades: DataFrame, market: str | None = None, span: tuple |
 
 
 def latency_points(
-    trades: DataFrame, market: str | None = None, token: str | None = None, span: tuple | None = None
+    trades: DataFrame, market: str | None = None, token: str | None = None, span: tuple | None = None, ordered: bool | None = None
 ) -> DataFrame:
     """Raw heat-map points, for a panel that bins them itself."""
     rows = with_book(scoped(trades, market, token, span), "delta_t_ms")
     out = rows.select(*TOKEN, "exchange_ts", minute_of("exchange_ts").alias("time"), F.col("delta_t_ms").alias("value"))
-    return in_time_order(out, *TOKEN).drop("exchange_ts")
+    return in_series_order(out, market, ordered, "exchange_ts", *TOKEN).drop("exchange_ts")
 
 
 def latency_heatmap(
@@ -231,10 +230,11 @@ def price_series(
     token: str | None = None,
     span: tuple | None = None,
     limit: int | None = None,
+    ordered: bool | None = None,
 ) -> DataFrame:
     """Trade prices in time order; the unscoped panel shows its first `limit` points."""
     out = scoped(trades, market, token, span).select(*TOKEN, "exchange_ts", "price", "trade_id")
-    out = in_time_order(out, "trade_id")
+    out = in_series_order(out, market, True if limit is not None else ordered, "exchange_ts", "trade_id")
     return out if limit is None else out.limit(limit)
 
 
@@ -265,6 +265,7 @@ def trades_and_bbo(
     market: str | None = None,
     token: str | None = None,
     span: tuple | None = None,
+    ordered: bool | None = None,
 ) -> DataFrame:
     """Best quotes and trades on one axis: series ASK, BID, Quote Lifted (buys) and Bid Hit (sells).
 
@@ -281,4 +282,4 @@ def trades_and_bbo(
         .filter(F.col("side").isin("BUY", "SELL"))
         .select(*TOKEN, "exchange_ts", series.alias("series"), F.col("price").alias("value"))
     )
-    return quotes.unionByName(hits).orderBy(*TOKEN, "exchange_ts", "series")
+    return in_series_order(quotes.unionByName(hits), market, ordered, *TOKEN, "exchange_ts", "series")

@@ -98,6 +98,18 @@ def test_facts_without_hot_keys(spark):
     assert joins.attach(facts, dim, ["x"], "inner", small=False).count() == 0
 
 
+def test_series_of_all_markets_are_ordered_on_demand_only(spark, tables):
+    def sorts(df):
+        return "rangepartitioning" in df._jdf.queryExecution().executedPlan().toString()
+
+    for series, rows_of in ((book.mid_series, tables.levels), (book.ask_depth, tables.levels), (book.depth_points, tables.levels),
+                            (trades.cumulative_volume, tables.trades), (trades.price_series, tables.trades)):
+        assert not sorts(series(rows_of)) and sorts(series(rows_of, market="c0")) and sorts(series(rows_of, ordered=True))
+        assert not sorts(series(rows_of, market="c0", ordered=False))
+    times = [r.exchange_ts for r in trades.price_series(tables.trades, market="c0").collect()]
+    assert times == sorted(times) and len(times) > 100
+
+
 def test_broadcast_only_within_the_limit(spark):
     dim = spark.range(1000).select(F.col("id").cast("string").alias("k"))
     assert joins.measured_bytes(dim) == 1000 * 24 + 2890
