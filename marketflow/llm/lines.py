@@ -26,6 +26,7 @@ import json
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from marketflow.llm.common import dropped, stored
 
@@ -36,9 +37,12 @@ BITS = 512
 BLANKS = r"[\x20\x09-\x0D]+"
 
 
-def _key() -> Column:
-    """A text of a document; takes the place of doc_id inside this module."""
-    return F.struct("doc_id", F.xxhash64("text").alias("text_hash"))
+def _key(docs: DataFrame) -> Column:
+    """What tells the texts apart; takes the place of doc_id inside this module. Only where a doc_id has several texts
+    does a hash of the text go with it, as it would make every row wider."""
+    texts = F.xxhash64("text")
+    several = docs.where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.min(texts).alias("lo"), F.max(texts).alias("hi"))
+    return F.col("doc_id") if several.where("lo != hi").isEmpty() else F.struct("doc_id", texts.alias("text_hash"))
 
 
 def _lines(docs: DataFrame) -> DataFrame:
@@ -191,12 +195,14 @@ def _others(open_rows: DataFrame, mates: DataFrame, bitmaps: DataFrame) -> DataF
 
 def removed_lines(docs: DataFrame) -> DataFrame:
     """(doc_id, line_no) of every line that an earlier one makes superfluous, in any text of that doc_id."""
-    return _lost(docs).select("doc_id.doc_id", "line_no").distinct()
+    lost = _lost(docs, _key(docs))
+    doc_id = "doc_id.doc_id" if isinstance(lost.schema["doc_id"].dataType, T.StructType) else "doc_id"
+    return lost.select(doc_id, "line_no").distinct()
 
 
-def _lost(docs: DataFrame) -> DataFrame:
-    """(doc_id, line_no), with `_key` as doc_id, of every line that an earlier one makes superfluous."""
-    docs = docs.where(F.col("doc_id").isNotNull()).select(_key().alias("doc_id"), "text")
+def _lost(docs: DataFrame, key: Column) -> DataFrame:
+    """(doc_id, line_no), with `key` as doc_id, of every line that an earlier one makes superfluous."""
+    docs = docs.where(F.col("doc_id").isNotNull()).select(key.alias("doc_id"), "text")
     ranks = word_ranks(docs)
     every = stored(classes(docs, ranks))
     here = F.struct("doc_id", "line_no")
@@ -225,11 +231,12 @@ def _lost(docs: DataFrame) -> DataFrame:
 def _rebuilt(docs: DataFrame) -> tuple[DataFrame, Column, Column]:
     """`docs` with two more columns: the numbers of the removed lines, and the text without them."""
     taken = {c.lower() for c in docs.columns}
-    key, gone_name, text_name = (n + "_" * max((len(c) for c in taken if c.startswith(n)), default=0) for n in ("__key", "__gone", "__text"))
-    lost = stored(_lost(docs).groupBy(F.col("doc_id").alias(key)).agg(F.collect_list("line_no").alias(gone_name)))
-    keyed = docs.withColumn(key, F.when(F.col("doc_id").isNotNull(), _key()))
+    key = _key(docs)
+    own, gone_name, text_name = (n + "_" * max((len(c) for c in taken if c.startswith(n)), default=0) for n in ("__key", "__gone", "__text"))
+    lost = stored(_lost(docs, key).groupBy(F.col("doc_id").alias(own)).agg(F.collect_list("line_no").alias(gone_name)))
+    keyed = docs.withColumn(own, F.when(F.col("doc_id").isNotNull(), key))
     gone, lines = F.col(gone_name), F.split("text", "\n")
-    joined = keyed.join(lost, key, "left").withColumn(gone_name, F.coalesce(gone, F.array().cast("array<int>")))
+    joined = keyed.join(lost, own, "left").withColumn(gone_name, F.coalesce(gone, F.array().cast("array<int>")))
     numbered = F.transform(lines, lambda line, i: F.struct(line.alias("line"), i.alias("i")))
     kept = F.filter(numbered, lambda s: ~F.array_contains(gone, s["i"]))
     text = F.when(F.size(gone) > 0, F.array_join(F.transform(kept, lambda s: s["line"]), "\n")).otherwise(F.col("text"))
