@@ -105,6 +105,14 @@ def dropped(df: DataFrame) -> None:
             path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """`name`, or a longer name that no column of `df` has."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def with_columns(
     docs: DataFrame, added: dict[str, pa.DataType], types: dict[str, str], make: Callable[[], Callable], keep: list[str] | None = None
 ) -> DataFrame:
@@ -114,13 +122,14 @@ def with_columns(
     columns. An added column replaces one of the same name; the other columns, or those in `keep`, pass through.
     """
     passed = [c for c in (docs.columns if keep is None else keep) if c not in added]
-    source = docs.select(*[F.col(f"`{c}`") for c in passed], F.col("text").cast("binary").alias("__text"))
+    text = free_name(docs, "__text")
+    source = docs.select(*[F.col(f"`{c}`") for c in passed], F.col("text").cast("binary").alias(text))
     schema = docs.select(*[F.col(f"`{c}`") for c in passed], *[F.lit(None).cast(t).alias(c) for c, t in types.items()]).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fn = make()
         for batch in batches:
-            out = fn(batch.column("__text").to_pylist())
+            out = fn(batch.column(text).to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(c) for c in passed] + [pa.array(out[c], t) for c, t in added.items()],
                 [*passed, *added],
@@ -131,12 +140,13 @@ def with_columns(
 
 def where_text(docs: DataFrame, make: Callable[[], Callable]) -> DataFrame:
     """The rows whose text passes, with their own columns; `make()` returns a function from texts to booleans."""
-    source = docs.withColumn("__text", F.col("text").cast("binary"))
+    text = free_name(docs, "__text")
+    source = docs.withColumn(text, F.col("text").cast("binary"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fn = make()
         for batch in batches:
-            passes = pa.array(fn(batch.column("__text").to_pylist()), pa.bool_())
+            passes = pa.array(fn(batch.column(text).to_pylist()), pa.bool_())
             yield batch.select(docs_columns).filter(passes)
 
     docs_columns = docs.columns

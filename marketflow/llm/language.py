@@ -150,8 +150,9 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray, str]], epochs: int = EPOCHS, er
     p = softmax(logits / temperature)
     top, wrong = p.max(axis=1), p.argmax(axis=1) != right
     order = np.argsort(-top)
-    fine = np.flatnonzero(np.cumsum(wrong[order]) <= error * np.arange(1, len(held) + 1))
+    fine = np.flatnonzero(np.cumsum(wrong[order]) <= np.maximum(1, error * np.arange(1, len(held) + 1)))
     # Rejection starts at the first confidence at which the accepted ones err too often, and at 1 / (languages) at least.
+    # A single wrong document of a small sample says nothing, so one is allowed.
     threshold = 0.0 if len(fine) and fine[-1] == len(held) - 1 else float(top[order[fine[-1]]]) if len(fine) else 1.0
     surprise, usual, spread = _surprises(rows, y, train, held, len(languages))
     model = Model(
@@ -211,7 +212,7 @@ def train(labelled: DataFrame, per_language: int = PER_LANGUAGE) -> Model:
         def run(texts):
             out = {"buckets": [], "counts": []}
             for text in texts:
-                counts = subwords(text)
+                counts = subwords(text) if has_letter(text) else np.zeros(0, np.int64)
                 buckets = np.flatnonzero(counts)
                 out["buckets"].append(buckets.astype(np.int32))
                 out["counts"].append(counts[buckets].astype(np.int32))

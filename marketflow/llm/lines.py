@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from marketflow.llm.common import dropped, stored
+from marketflow.llm.common import dropped, free_name, stored
 
 WIDTH = 5
 SHARE = 75  # percent
@@ -230,9 +230,8 @@ def _lost(docs: DataFrame, key: Column) -> DataFrame:
 
 def _rebuilt(docs: DataFrame) -> tuple[DataFrame, Column, Column]:
     """`docs` with two more columns: the numbers of the removed lines, and the text without them."""
-    taken = {c.lower() for c in docs.columns}
     key = _key(docs)
-    own, gone_name, text_name = (n + "_" * max((len(c) for c in taken if c.startswith(n)), default=0) for n in ("__key", "__gone", "__text"))
+    own, gone_name, text_name = (free_name(docs, n) for n in ("__key", "__gone", "__text"))
     lost = stored(_lost(docs, key).groupBy(F.col("doc_id").alias(own)).agg(F.collect_list("line_no").alias(gone_name)))
     keyed = docs.withColumn(own, F.when(F.col("doc_id").isNotNull(), key))
     gone, lines = F.col(gone_name), F.split("text", "\n")

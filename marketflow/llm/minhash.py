@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marketflow.llm.common import PrefixHashes, blank_words, scrambled, stored, with_columns
+from marketflow.llm.common import PrefixHashes, blank_words, free_name, scrambled, stored, with_columns
 from marketflow.llm.components import components
 
 WIDTH = 5
@@ -286,5 +286,6 @@ def near_duplicates(docs: DataFrame, small: int = SMALL) -> DataFrame:
 
 def keep_one(docs: DataFrame) -> DataFrame:
     """`docs` with one document of each component, the one with the smallest doc_id; its repeated rows stay."""
-    gone = near_duplicates(docs).where(~F.col("kept")).select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(gone, F.col("doc_id") == F.col("__gone"), "left_anti")
+    name = free_name(docs, "__gone")
+    gone = near_duplicates(docs).where(~F.col("kept")).select(F.col("doc_id").alias(name)).distinct()
+    return docs.join(gone, F.col("doc_id") == F.col(name), "left_anti")
