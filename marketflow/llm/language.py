@@ -33,8 +33,8 @@ from marketflow.llm.learning import remainder
 
 BUCKETS = 1 << 14
 DIM = 16
-SAMPLE = 12_000
-PER_LANGUAGE = 600
+SAMPLE = 8_000
+PER_LANGUAGE = 400
 LANGUAGES = 400
 EPOCHS = 10
 ERROR = 0.005

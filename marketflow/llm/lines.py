@@ -10,11 +10,13 @@ this is judged on the input, not on what is left. The join:
 3. Two lines of likeness t share a shingle among the first n - ceil(t n) + 1 of their order (prefix filter). Each class
    is compared with the earliest class that shares a prefix shingle, if their lengths and the places of the shingle
    in both allow the likeness (length and positional filter), and is verified on the lines themselves.
-4. A class without a verified earlier line is compared with all other earlier classes that share a prefix shingle.
-   Bitmaps of their shingles bound the likeness from above, and only pairs that may reach it leave the join.
+4. A class without a verified earlier line is compared in the same way with the earliest of each of DRAWS parts of the
+   classes that share a prefix shingle, dealt by hash: in a group of variants most meet a like one here.
+5. A class that is still open is compared with all other earlier classes that share a prefix shingle. Bitmaps of their
+   shingles bound the likeness from above, and only pairs that may reach it leave the join.
 
-Hence no group is paired out: a group of many variants of a line is settled by its earliest line in step 3, and
-frequent shingles are not in prefixes. Null texts have no lines and stay null. A text is known by its
+Hence no group is paired out: a group of many variants of a line is settled in steps 3 and 4, and frequent shingles are
+not in prefixes. Null texts have no lines and stay null. A text is known by its
 doc_id and a 64-bit hash of it: equal rows are one text, whose lines are kept or removed alike, and other texts of the
 same doc_id are texts of their own, in the order of their hashes. Rows without doc_id are not compared and stay as they
 are. `deduplicated` drops documents that lose all of a text that had words.
@@ -34,6 +36,7 @@ WIDTH = 5
 SHARE = 75  # percent
 BUCKETS = 1 << 14
 BITS = 512
+DRAWS = 8
 BLANKS = r"[\x20\x09-\x0D]+"
 
 
@@ -164,6 +167,16 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return counted.where(alike).select("x", "y").distinct()
 
 
+def _drawn(open_rows: DataFrame, mates: DataFrame) -> DataFrame:
+    """Pairs (x, y) of an open line and the earliest line of each part of a shingle's lines, if it is earlier and may be alike."""
+    met = mates.join(open_rows.select("token").distinct(), "token")
+    part = F.pmod(F.xxhash64("line"), F.lit(DRAWS))
+    first = met.groupBy("token", part.alias("part")).agg(F.min(F.struct("line", "n", "place")).alias("drawn")).select("token", "drawn")
+    rows = open_rows.join(first, "token").where(F.col("drawn.line") < F.col("line"))
+    may = rows.where(_possible(F.col("n"), F.col("place"), F.col("drawn.n"), F.col("drawn.place")) & (F.col("drawn.line") != F.col("earliest.line")))
+    return may.select(F.col("line").alias("x"), F.col("drawn.line").alias("y")).distinct()
+
+
 def _bitmaps(texts: DataFrame, ranks: list[int]) -> DataFrame:
     """(at, b0, b1, ...): the shingles of each line as BITS bits, in longs."""
     tokens = _tokenized(texts, ranks).select("at", F.explode("tokens").alias("token"))
@@ -219,9 +232,13 @@ def _lost(docs: DataFrame, key: Column) -> DataFrame:
     settled = stored(_verified(pairs, texts))
     open_rows = stored(later.join(settled.select(F.col("x").alias("line")).distinct(), "line", "left_anti"))
     found = settled
+    if not open_rows.isEmpty():
+        again = stored(_verified(_drawn(open_rows, mates), texts))
+        found = settled.union(again)
+        open_rows = stored(open_rows.join(again.select(F.col("x").alias("line")).distinct(), "line", "left_anti"))
     if not open_rows.isEmpty():
         more = stored(_others(open_rows, mates, stored(_bitmaps(texts, ranks))))
-        found = settled.union(stored(_verified(more, texts)))
+        found = found.union(stored(_verified(more, texts)))
     gone = found.select(F.col("x").alias("line")).distinct().withColumn("gone", F.lit(True))
     verdict = heads.join(gone, "line", "left").select("set_key", "line", F.col("gone").isNotNull().alias("gone"))
     lost = members.join(verdict, "set_key").where(F.col("gone") | (F.col("here") != F.col("line")))
