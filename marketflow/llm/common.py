@@ -138,6 +138,13 @@ def with_columns(
     return source.mapInArrow(run, schema)
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
+    """The batches in short pieces, so that only a few texts at a time become Python objects."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def where_text(docs: DataFrame, make: Callable[[], Callable]) -> DataFrame:
     """The rows whose text passes, with their own columns; `make()` returns a function from texts to booleans."""
     text = free_name(docs, "__text")

@@ -32,7 +32,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketflow.llm.common import PrefixHashes, U, scrambled, shuffle_width, stored
+from marketflow.llm.common import PrefixHashes, U, scrambled, shuffle_width, slices, stored
 from marketflow.llm.suffixes import Text
 
 LENGTH = 50
@@ -315,7 +315,7 @@ def _meeting(sent: DataFrame, docs: int, buckets: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         solve = {ANCHORS: _met_anchors, CONTEXTS: _met_contexts, STRINGS: _met_strings}
         key, held = None, []
-        for batch in batches:
+        for batch in slices(batches):
             for bucket, kind, data in zip(*[batch.column(c).to_pylist() for c in ("bucket", "kind", "data")], strict=True):
                 if kind < ANCHORS:
                     yield _batch([(bucket, kind, data)])
@@ -336,7 +336,7 @@ def _compressed(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pressing = zstandard.ZstdCompressor(level=1)
-        for batch in batches:
+        for batch in slices(batches):
             data = [pressing.compress(t or b"") for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("key"), pa.array(data, pa.binary())], ["doc_id", "key", "data"])
 
@@ -355,7 +355,7 @@ def _with_findings(docs: DataFrame, findings: DataFrame, width: int, make: Calla
 
         def buckets():
             at, marks, rows = None, {}, []
-            for batch in batches:
+            for batch in slices(batches):
                 for bucket, kind, doc_id, key, data in zip(*[batch.column(c).to_pylist() for c in ("bucket", "kind", "doc_id", "key", "data")], strict=True):
                     if bucket != at:
                         if at is not None:
@@ -419,7 +419,7 @@ def cut_spans(docs: DataFrame) -> tuple[DataFrame, DataFrame, int]:
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def texts():
-            for batch in batches:
+            for batch in slices(batches):
                 yield from zip(batch.column("key").to_pylist(), batch.column("text").to_pylist(), strict=True)
 
         held, n = [], 0
