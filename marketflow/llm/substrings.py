@@ -38,9 +38,10 @@ from marketflow.llm.suffixes import Text
 LENGTH = 50
 GRAM = 24
 CROWD = 64
-CHUNK = 1 << 19
+CHUNK = 1 << 17
 FLUSH = 1 << 18  # anchors or strings that a task holds before it sends them
 BUCKET_BYTES = 64 << 20  # text per bucket
+BLOCK = 1 << 18  # anchors, or bytes of contexts, of a bucket that are solved at once
 LOW48 = U((1 << 48) - 1)
 SETTLED, CONTESTED, CROWDED = 0, 1, 2
 PACKED = "bucket int, kind int, data binary"
@@ -175,8 +176,13 @@ def _marks(kind: int, docs: int, doc: np.ndarray, start: np.ndarray, n: np.ndarr
             yield int(home[part[0]]), kind, pack(doc[part], start[part], n[part], place[part], h[part])
 
 
+def _homes(h: np.ndarray, buckets: int) -> np.ndarray:
+    """The bucket of each gram hash; without its last bit, as that is always set."""
+    return ((h >> U(1)) % U(buckets)).astype(np.int64)
+
+
 def _dealt(buckets: int, keys: np.ndarray, kind: int, *arrays: np.ndarray) -> Iterator[tuple]:
-    home = (keys % U(buckets)).astype(np.int64)
+    home = _homes(keys, buckets)
     order = np.argsort(home, kind="stable")
     for part in np.split(order, np.flatnonzero(np.diff(home[order])) + 1):
         if len(part):
@@ -201,8 +207,20 @@ def _sent_anchors(parts: list[list[np.ndarray]], docs: int, buckets: int) -> Ite
     yield from _dealt(buckets, h[send], ANCHORS, *[x[send] for x in (h, c, doc, start, n, place)], flag)
 
 
+def _shares(parts: list[list[np.ndarray]]) -> Iterator[list[np.ndarray]]:
+    """The rows of `parts`, about BLOCK at a time; all rows of a gram hash, their first array, come together."""
+    shares = -(-sum(len(p[0]) for p in parts) // BLOCK)
+    for k in range(shares):
+        yield joined([[a[mine] for a in p] for p in parts for mine in [(p[0] >> U(24)) % U(shares) == k]])
+
+
 def _met_anchors(parts: list[list[np.ndarray]], docs: int) -> Iterator[tuple]:
-    h, c, doc, start, n, place, flag = joined(parts)
+    for share in _shares(parts):
+        yield from _settled_anchors(share, docs)
+
+
+def _settled_anchors(share: list[np.ndarray], docs: int) -> Iterator[tuple]:
+    h, c, doc, start, n, place, flag = share
     order, new_h, _, later, contexts = settle(h, c, doc)
     h, doc, start, n, place, flag = (x[order] for x in (h, doc, start, n, place, flag))
     group = np.cumsum(new_h) - 1
@@ -274,9 +292,21 @@ def _runs(flags: np.ndarray, *keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]
 
 
 def _met_contexts(parts: list[list[np.ndarray]], docs: int) -> Iterator[tuple]:
+    """Contexts meet those of their own gram only, so the grams are solved a few at a time."""
     doc, start, n, place, h, data = joined(parts)
     size = n.astype(np.int64) + LENGTH - 1
-    shared = shared_strings(data.tobytes(), size, doc, place.astype(np.int64))
+    begin = np.cumsum(size) - size
+    order = np.argsort(h, kind="stable")
+    first = np.flatnonzero(_starts(h[order]))
+    block = (np.cumsum(size[order]) - size[order])[first] // BLOCK
+    for rows in np.split(order, first[1:][np.diff(block) > 0]):
+        ends = np.cumsum(size[rows])
+        at = np.repeat(begin[rows] + size[rows] - ends, size[rows]) + np.arange(ends[-1])
+        yield from _solved_contexts(docs, data[at].tobytes(), size[rows], *[x[rows] for x in (doc, start, n, place, h)])
+
+
+def _solved_contexts(docs: int, data: bytes, size, doc, start, n, place, h) -> Iterator[tuple]:
+    shared = shared_strings(data, size, doc, place.astype(np.int64))
     row = np.repeat(np.arange(len(n)), n)
     inside = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
     first, length = _runs(shared, row)
@@ -455,7 +485,7 @@ def cut_spans(docs: DataFrame) -> tuple[DataFrame, DataFrame, int]:
             rows = []
             if out:
                 doc, start, n, place, h = (np.array([r[i] for r in out], t) for i, t in enumerate((np.int64, np.int32, np.int16, np.int8, np.uint64)))
-                home = (h % U(buckets)).astype(np.int64)
+                home = _homes(h, buckets)
                 order = np.argsort(home, kind="stable")
                 for part in np.split(order, np.flatnonzero(np.diff(home[order])) + 1):
                     data = np.frombuffer(b"".join(out[i][5] for i in part.tolist()), np.uint8)

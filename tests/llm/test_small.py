@@ -107,6 +107,40 @@ def test_crowded_strings_meet_one_by_one(docs, monkeypatch, crowd):
     assert {r.doc_id: tuple(r[1:]) for r in substrings.digest(df).collect()} == want
 
 
+def test_anchors_use_all_buckets():
+    rng = random.Random(6)
+    (part,) = substrings.anchored([(1, prose(rng, 3000).encode())])
+    homes = {bucket for bucket, kind, _ in substrings._sent_anchors([part], 12, 12) if kind == substrings.ANCHORS}
+    assert homes == set(range(12))
+
+
+def test_memory_of_a_bucket(monkeypatch):
+    """A bucket is solved in shares: beside the arrays themselves, little memory is needed, and none stays."""
+    import tracemalloc
+
+    import numpy as np
+
+    rng, n = np.random.default_rng(2), 60_000
+    one = lambda kind: np.ones(n, kind)
+    grams = np.repeat(rng.integers(1, 1 << 48, n // 2, dtype=np.uint64), 2)  # two contexts each, from two documents
+    doc, start = np.arange(n) % 2, np.arange(n, dtype=np.int32)
+    text = np.repeat(rng.integers(97, 123, (n // 2, 50), dtype=np.uint8), 2, axis=0)
+    cases = {
+        substrings._met_contexts: [doc, start, one(np.int16), 0 * one(np.int8), grams, text.reshape(-1)],
+        substrings._met_anchors: [grams, grams + doc.astype(np.uint64), doc, start, one(np.int16), 0 * one(np.int8), 0 * one(np.int8)],
+    }
+    monkeypatch.setattr(substrings, "BLOCK", 1 << 13, raising=False)
+    for solve, arrays in cases.items():
+        for name in ("_powers", "_inverse"):
+            monkeypatch.setattr(substrings.PrefixHashes, name, np.ones(1, np.uint64))
+        tracemalloc.start()
+        found = sum(len(substrings.unpack(data)[0]) for _, _, data in solve([arrays], 4))
+        kept, most = tracemalloc.get_traced_memory()
+        tracemalloc.stop()
+        assert found == (n // 2 if solve is substrings._met_contexts else n)
+        assert most < 6 * sum(a.nbytes for a in arrays) and kept < 4_000_000
+
+
 def test_long_texts_in_pieces(monkeypatch):
     rng = random.Random(5)
     text = prose(rng, 3000).encode()
