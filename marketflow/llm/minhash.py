@@ -2,15 +2,15 @@
 
 Documents are linked when 100 * intersection >= 75 * union of their sets of distinct five-word shingles. The way there:
 
-1. One pass over the texts gives each set a 128-bit key, 64 band keys of 6 minima each, and a signature of 128 bytes.
-   Equal sets are one node (its smallest doc_id) from here on, so copies never meet each other.
+1. One pass over the texts gives each set a 128-bit key, 64 band keys of 6 minima each, a signature of 128 bytes and a
+   bitmap of its shingles. Equal sets are one node (its smallest doc_id) from here on, so copies never meet each other.
 2. Nodes with equal band keys are candidates: each node against one of its bucket, and in buckets of at
    most `small` nodes also all others. The chance that a link at exactly 0.75 shares no bucket is 0.822**64 = 4e-6.
 3. Larger buckets are not paired out; each node meets one node of the bucket, drawn by hash. When the nodes turn out
    to be one component, nothing is left to find in the bucket. Otherwise nodes of different components are compared
-   by bitmaps of their shingles, which bound the likeness from above, and only those that may be linked go on.
+   by their bitmaps, which bound the likeness from above, and only those that may be linked and have not met go on.
 4. Each candidate's signatures are compared a batch at a time. A pair is dropped as soon as the posterior probability
-   of a likeness of 0.75 or more is under `miss`.
+   of a likeness of 0.75 or more is under `miss`. Then the bitmaps drop what cannot reach 0.75.
 5. Survivors are verified on the full sets of the texts themselves. Components come from the verified links.
 
 Null and empty texts have no shingles and link with nothing. A text of one to four words is one shingle. Rows that
@@ -85,12 +85,19 @@ def band_keys(least: np.ndarray) -> np.ndarray:
     return scrambled(mixed + _BAND_SEED[:, 0]).view(np.int64)
 
 
+def bitmap(shingles: np.ndarray) -> np.ndarray:
+    """The shingles as BITS bits in longs."""
+    bits = np.zeros(BITS, np.uint8)
+    bits[(shingles & np.uint64(BITS - 1)).astype(np.int64)] = 1
+    return np.packbits(bits).view(np.int64)
+
+
 def features(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_shingles, set_key, bands, signature) for each row."""
+    """(doc_id, n_shingles, set_key, bands, signature, bits) for each row."""
 
     def make():
         def run(texts):
-            out = {"n_shingles": [], "set_key": [], "bands": [], "signature": []}
+            out = {"n_shingles": [], "set_key": [], "bands": [], "signature": [], "bits": []}
             for text in texts:
                 shingles = shingle_hashes(text or b"")
                 out["n_shingles"].append(len(shingles))
@@ -99,8 +106,9 @@ def features(docs: DataFrame) -> DataFrame:
                     out["set_key"].append(hashlib.blake2b(shingles.tobytes(), digest_size=16).digest())
                     out["bands"].append(band_keys(least))
                     out["signature"].append((least[: BATCH * BATCHES] * np.uint32(0x9E3779B1) >> np.uint32(24)).astype(np.uint8).tobytes())
+                    out["bits"].append(bitmap(shingles))
                 else:
-                    for c in ("set_key", "bands", "signature"):
+                    for c in ("set_key", "bands", "signature", "bits"):
                         out[c].append(None)
             return out
 
@@ -108,8 +116,8 @@ def features(docs: DataFrame) -> DataFrame:
 
     return with_columns(
         docs,
-        {"n_shingles": pa.int64(), "set_key": pa.binary(), "bands": pa.list_(pa.int64()), "signature": pa.binary()},
-        {"n_shingles": "long", "set_key": "binary", "bands": "array<long>", "signature": "binary"},
+        {"n_shingles": pa.int64(), "set_key": pa.binary(), "bands": pa.list_(pa.int64()), "signature": pa.binary(), "bits": pa.list_(pa.int64())},
+        {"n_shingles": "long", "set_key": "binary", "bands": "array<long>", "signature": "binary", "bits": "array<long>"},
         make,
         ["doc_id"],
     )
@@ -133,12 +141,20 @@ def needed_matches(threshold: float = 0.75, miss: float = MISS) -> list[int]:
     return fewest
 
 
+def possible(n: np.ndarray, x: np.ndarray, m: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Whether sets of n and m shingles with bitmaps x and y may be linked.
+
+    Each bit that only one of the two has stands for a shingle at least that the other lacks.
+    """
+    most = np.minimum(n - np.bitwise_count(x & ~y).sum(axis=1, dtype=np.int64), m - np.bitwise_count(y & ~x).sum(axis=1, dtype=np.int64))
+    return (100 + 75) * most >= 75 * (n + m)
+
+
 def plausible(pairs: DataFrame, nodes: DataFrame, miss: float = MISS) -> DataFrame:
-    """The pairs (a, b) that survive the sequential comparison of their signatures."""
+    """The pairs (a, b) that survive the sequential comparison of their signatures and that of their bitmaps."""
     fewest = needed_matches(miss=miss)
-    sides = nodes.select("node", "signature")
-    both = pairs.join(sides.select(F.col("node").alias("a"), F.col("signature").alias("sa")), "a")
-    both = both.join(sides.select(F.col("node").alias("b"), F.col("signature").alias("sb")), "b").select("a", "b", "sa", "sb")
+    a, b = (nodes.select(F.col("node").alias(k), F.col("signature").alias(f"s{k}"), F.col("n_shingles").alias(f"n{k}"), F.col("bits").alias(f"x{k}")) for k in "ab")
+    both = pairs.join(a, "a").join(b, "b").select("a", "b", "sa", "sb", "na", "nb", "xa", "xb")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -151,7 +167,10 @@ def plausible(pairs: DataFrame, nodes: DataFrame, miss: float = MISS) -> DataFra
                 part = slice(k * BATCH, (k + 1) * BATCH)
                 matches = matches + (left[alive, part] == right[alive, part]).sum(axis=1)
                 alive, matches = alive[matches >= least], matches[matches >= least]
-            yield batch.select(["a", "b"]).take(pa.array(alive))
+            rest = batch.take(pa.array(alive))
+            n, m = (rest.column(c).to_numpy() for c in ("na", "nb"))
+            x, y = (rest.column(c).flatten().to_numpy().view(np.uint64).reshape(-1, BITS // 64) for c in ("xa", "xb"))
+            yield rest.select(["a", "b"]).filter(pa.array(possible(n, x, m, y)))
 
     return both.mapInArrow(run, "a long, b long")
 
@@ -212,33 +231,14 @@ def _open(shared: DataFrame, joined: DataFrame) -> DataFrame:
     return rows.join(several.select("bucket"), "bucket")
 
 
-def _bitmaps(nodes: DataFrame, texts: DataFrame) -> DataFrame:
-    """(node, n, bits): the size of each node's set and a bitmap of its shingles, BITS bits in longs."""
-
-    def make():
-        def run(found):
-            out = {"n": [], "bits": []}
-            for text in found:
-                shingles = shingle_hashes(text)
-                bits = np.zeros(BITS, np.uint8)
-                bits[(shingles & np.uint64(BITS - 1)).astype(np.int64)] = 1
-                out["n"].append(len(shingles))
-                out["bits"].append(np.packbits(bits).view(np.int64))
-            return out
-
-        return run
+def _across(rows: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Pairs of nodes of different components in one bucket whose bitmaps allow a link (as in `possible`).
 
-    return with_columns(
-        texts.join(nodes, "node"), {"n": pa.int64(), "bits": pa.list_(pa.int64())}, {"n": "long", "bits": "array<long>"}, make, ["node"]
-    )
-
-
-def _across(rows: DataFrame, bitmaps: DataFrame) -> DataFrame:
-    """Pairs of nodes of different components in one bucket whose bitmaps allow a link.
-
-    Each bit that only one of the two has stands for a shingle at least that the other lacks.
+    A node meets its bitmap once, with the list of its buckets.
     """
-    mapped = stored(rows.join(bitmaps, "node"))
+    lists = rows.groupBy("node", "component").agg(F.collect_list("bucket").alias("buckets"))
+    bitmaps = nodes.select("node", F.col("n_shingles").alias("n"), "bits")
+    mapped = stored(lists.join(bitmaps, "node").select(F.explode("buckets").alias("bucket"), "node", "component", "n", "bits"))
     x, y = mapped.alias("x"), mapped.alias("y")
 
     def lacking(a: str, b: str) -> Column:
@@ -252,17 +252,20 @@ def _across(rows: DataFrame, bitmaps: DataFrame) -> DataFrame:
 
 
 def links_of(docs: DataFrame, nodes: DataFrame, small: int = SMALL) -> tuple[DataFrame, DataFrame]:
-    """Verified links between nodes, and the components they make. `nodes`: (node, bands, signature) of each set."""
+    """Verified links between nodes, and the components they make. `nodes`: (node, n_shingles, bands, signature, bits) of
+    each set."""
     shared = stored(_buckets(nodes.select(F.explode("bands").alias("bucket"), "node"), small))
     meeting = shared.select("node").distinct()
     texts = docs.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull()).select(F.col("doc_id").alias("node"), "text")
     texts = stored(texts.join(meeting, "node"))
-    links = stored(verified(stored(plausible(_candidates(shared), nodes)), texts))
+    sides = stored(nodes.drop("bands").join(meeting, "node", "left_semi"))
+    met = stored(plausible(_candidates(shared), sides))
+    links = stored(verified(met, texts))
     joined = stored(components(links))
     rest = stored(_open(shared, joined))
     if not rest.isEmpty():
-        bitmaps = stored(_bitmaps(rest.select("node").distinct(), texts))
-        pairs = stored(plausible(_across(rest, bitmaps), nodes))
+        others = _across(rest, sides).join(met, ["a", "b"], "left_anti")
+        pairs = stored(plausible(others, sides))
         links = stored(links.union(verified(pairs, texts)).distinct())
         joined = stored(components(links))
     return links, joined
@@ -274,7 +277,7 @@ def near_duplicates(docs: DataFrame, small: int = SMALL) -> DataFrame:
     known = found.where(F.col("doc_id").isNotNull() & F.col("set_key").isNotNull())
     first = known.groupBy("set_key").agg(F.min("doc_id").alias("node"))
     nodes = known.join(first, "set_key").where(F.col("doc_id") == F.col("node"))
-    nodes = nodes.select("node", "bands", "signature").dropDuplicates(["node"])
+    nodes = nodes.select("node", "n_shingles", "bands", "signature", "bits").dropDuplicates(["node"])
     _, joined = links_of(docs, nodes, small)
     home = first.join(joined, "node", "left").select("set_key", F.coalesce("component", "node").alias("component_id"))
     rows = found.select("doc_id", "n_shingles", "set_key").alias("r").join(home.alias("h"), "set_key", "left")
