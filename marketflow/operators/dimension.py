@@ -33,7 +33,10 @@ SPORTS_KEYWORDS = [
 def latest(df: DataFrame, keys: list[str], columns: list[str], order: str = "updated_at") -> DataFrame:
     """Newest version per key; all columns come from one version, and ties are settled by the columns' values."""
     newest = F.max(F.struct(order, *[c for c in columns if c != order])).alias("_newest")
-    return df.groupBy(*keys).agg(newest).select(*keys, *[F.col(f"_newest.{c}").alias(c) for c in columns])
+    # The maximum needs sorted rows. One task may read a large file whole, so the versions are dealt out first, by all of
+    # their content: no task sorts more than a part, and a key of many versions is cut down in many tasks.
+    used = dict.fromkeys([*keys, order, *columns])
+    return df.select(*used).repartition(*used).groupBy(*keys).agg(newest).select(*keys, *[F.col(f"_newest.{c}").alias(c) for c in columns])
 
 
 def latest_markets(markets: DataFrame) -> DataFrame:

@@ -255,6 +255,18 @@ def test_latest_takes_one_version_whole(spark):
     assert rows(dimension.latest_markets(df), "market_id", "question", "category") == [("m", "q2", None), ("n", "q3", "b")]
 
 
+def test_versions_are_dealt_out_before_they_are_sorted(spark, tmp_path, capsys):
+    """One task may read all versions: it must not sort them all."""
+    wide = "string(id % 50) AS condition_id, string(id % 50) AS market_id, timestamp_seconds(id) AS updated_at, string(id) AS question"
+    spark.range(0, 500, 1, 1).selectExpr(*wide.split(", ")).write.parquet(str(tmp_path / "versions"))
+    newest = dimension.latest_markets(spark.read.parquet(str(tmp_path / "versions")))
+    assert rows(newest, "condition_id", "question") == sorted((str(i % 50), str(i)) for i in range(450, 500))
+    newest.explain()
+    plan = capsys.readouterr().out
+    below = plan[plan.rindex("Exchange") :]
+    assert "Scan" in below and "Sort " not in below and "Aggregate" not in below
+
+
 def test_invariants(spark, tables):
     assert book.imbalance_series(tables.levels).filter("abs(imbalance) > 1").count() == 0
     both = book.current_probability(tables.levels).groupBy("token_id").agg(F.round(F.sum("value"), 6).alias("s"))
