@@ -29,6 +29,10 @@ SPORTS_KEYWORDS = [
     "grand prix",
 ]
 
+# Up to so many parts a task writes its rows straight to their files (spark.shuffle.sort.bypassMergeThreshold); for more
+# it gathers them in memory first.
+PARTS = 200
+
 
 def latest(df: DataFrame, keys: list[str], columns: list[str], order: str = "updated_at") -> DataFrame:
     """Newest version per key; all columns come from one version, and ties are settled by the columns' values."""
@@ -36,7 +40,9 @@ def latest(df: DataFrame, keys: list[str], columns: list[str], order: str = "upd
     # The maximum needs sorted rows. One task may read a large file whole, so the versions are dealt out first, by all of
     # their content: no task sorts more than a part, and a key of many versions is cut down in many tasks.
     used = dict.fromkeys([*keys, order, *columns])
-    return df.select(*used).repartition(*used).groupBy(*keys).agg(newest).select(*keys, *[F.col(f"_newest.{c}").alias(c) for c in columns])
+    wide = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) > PARTS
+    dealt = df.select(*used).repartition(*[PARTS] * wide, *used)
+    return dealt.groupBy(*keys).agg(newest).select(*keys, *[F.col(f"_newest.{c}").alias(c) for c in columns])
 
 
 def latest_markets(markets: DataFrame) -> DataFrame:

@@ -267,6 +267,16 @@ def test_versions_are_dealt_out_before_they_are_sorted(spark, tmp_path, capsys):
     assert "Scan" in below and "Sort " not in below and "Aggregate" not in below
 
 
+def test_versions_are_dealt_to_few_parts(spark, monkeypatch):
+    """A task that deals rows to many parts would hold them all in memory."""
+    df = spark.createDataFrame([("m", "c", 1), ("m", "c", 2)], "market_id string, condition_id string, updated_at int")
+    monkeypatch.setattr(dimension, "PARTS", 3)
+    newest = dimension.latest_markets(df)
+    assert "RepartitionByExpression" in newest._jdf.queryExecution().logical().toString()
+    assert ", 3" in newest._jdf.queryExecution().optimizedPlan().toString()
+    assert rows(newest) == [("c", "m", 2)]
+
+
 def test_invariants(spark, tables):
     assert book.imbalance_series(tables.levels).filter("abs(imbalance) > 1").count() == 0
     both = book.current_probability(tables.levels).groupBy("token_id").agg(F.round(F.sum("value"), 6).alias("s"))
