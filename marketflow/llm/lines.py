@@ -4,8 +4,9 @@ A line is the set of its five-word shingles (words between blanks, lower case);
 its words as its one shingle, so that its repeats go too. Lines without words are never removed. A line is removed if an earlier line, by (doc_id, line number), has a Jaccard likeness of 0.75 or more;
 this is judged on the input, not on what is left. The join:
 
-1. Shingles are ordered by rarity. The frequencies of all words of the corpus are counted in BUCKETS hashed classes; a
-   shingle is as rare as its first word, which bounds its own frequency from above.
+1. Shingles are ordered by rarity. The frequencies of all words of the corpus are counted in BUCKETS hashed classes and
+   told apart by quarters of a power of two; a shingle is as rare as its first word, which bounds its own frequency
+   from above.
 2. Lines with equal sets are one class from here on, known by its earliest line.
 3. Two lines of likeness t share a shingle among the first n - ceil(t n) + 1 of their order (prefix filter). Each class
    is compared with the earliest class that shares a prefix shingle, if their lengths and the places of the shingle
@@ -25,6 +26,7 @@ are. `deduplicated` drops documents that lose all of a text that had words.
 from __future__ import annotations
 
 import json
+import math
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -71,25 +73,22 @@ def _bucket(word: Column) -> Column:
 
 
 def word_ranks(docs: DataFrame) -> list[int]:
-    """Rank of each class of words by frequency over all texts, rarest first: BUCKETS numbers, however large the input."""
+    """How frequent each class of words is over all texts, in quarters of a power of two: BUCKETS small numbers, however
+    large the input. They stand in the plan and in each of its descriptions that the driver keeps, hence so short."""
     words = docs.select(F.explode(F.split("text", "\n")).alias("line")).select(F.explode(_words(F.col("line"))).alias("w"))
     counts = {r.b: r.n for r in words.groupBy(_bucket(F.col("w")).alias("b")).agg(F.count("*").alias("n")).collect()}
-    order = sorted(range(BUCKETS), key=lambda b: (counts.get(b, 0), b))
-    ranks = [0] * BUCKETS
-    for rank, b in enumerate(order):
-        ranks[b] = rank
-    return ranks
+    return [round(4 * math.log2(counts.get(b, 0) + 1)) for b in range(BUCKETS)]
 
 
 def _tokenized(lines: DataFrame, ranks: list[int]) -> DataFrame:
     """`lines` with tokens for `line`, without lines that have no words.
 
-    The tokens are the distinct shingles as 64-bit numbers, rarest first: 14 bits of rank, 48 bits of hash. The shingle
+    The tokens are the distinct shingles as 64-bit numbers, rarest first: rank above, 48 bits of hash. The shingle
     of a line of fewer than WIDTH words ends in nulls, which the hash leaves out.
     """
-    table = F.from_json(F.lit(json.dumps([r << 48 for r in ranks])), "array<long>")
+    table = F.from_json(F.lit(json.dumps(ranks, separators=(",", ":"))), "array<long>")
     high, none = F.lit(-1 << 48), F.lit(0).cast("long")
-    code = lambda w: F.coalesce(F.get(table, _bucket(w)), none).bitwiseOR(F.shiftrightunsigned(F.xxhash64(w), 16))
+    code = lambda w: F.shiftleft(F.coalesce(F.get(table, _bucket(w)), none), 48).bitwiseOR(F.shiftrightunsigned(F.xxhash64(w), 16))
     passed = [c for c in lines.columns if c != "line"]
     worded = _bound(lines, "words", _words(F.col("line"))).where(F.get("words", F.lit(0)) != "")
     coded = _bound(worded.select(*passed, "words"), "codes", F.transform("words", code)).select(*passed, "codes")

@@ -4,9 +4,10 @@ import random
 from pathlib import Path
 from types import SimpleNamespace
 
+import pyarrow as pa
 import pytest
 
-from marketflow.llm import decontaminate, fingerprint, language, licenses, lines, minhash, mixing, quotes, substrings, toxicity
+from marketflow.llm import common, decontaminate, fingerprint, language, licenses, lines, minhash, mixing, quotes, substrings, toxicity
 from tests.llm import brute
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
@@ -317,6 +318,35 @@ def test_lines(docs, empty):
     assert lines.removed_lines(empty).count() == 0 and lines.digest(docs.df).count() == len(docs.rows)
 
 
+def _varied_lines() -> list[tuple[int, str]]:
+    """One group of variants on both sides of the threshold that share their rarest words, by which they meet."""
+    rng = random.Random(31)
+    base = [f"w{i}" for i in range(60)]
+    rows = []
+    for k in range(60):
+        words = base.copy()
+        for at in rng.sample(range(30, 60), rng.choice([0, 1, 3, 6, 9, 12])):
+            words[at] = f"x{k % 7}y{at}"
+        rows.append((k, " ".join(words)))
+    return rows
+
+
+def test_plans_of_lines_are_short(spark):
+    """The driver keeps a description of every plan; the ranks of the words stand in it."""
+    df = spark.createDataFrame([(k, f"{t} " * 50) for k, t in _varied_lines()], "doc_id long, text string")
+    plan = lines.classes(df, lines.word_ranks(df))._jdf.queryExecution().optimizedPlan().toString()
+    assert len(plan) < 80_000
+
+
+def test_texts_become_python_objects_a_few_at_a_time(spark):
+    sizes = lambda texts: {"n": [len(texts)] * len(texts)}
+    df = spark.range(3000, numPartitions=1).selectExpr("id AS doc_id", "'a b' AS text")
+    found = common.with_columns(df, {"n": pa.int64()}, {"n": "long"}, lambda: sizes)
+    assert found.count() == 3000 and found.agg({"n": "max"}).first()[0] <= 256
+    assert common.where_text(df, lambda: lambda texts: [len(texts) <= 256] * len(texts)).count() == 3000
+
+
+
 def test_lines_that_the_earliest_does_not_settle(spark):
     """A line like a middle one but not like the earliest that shares its rare words."""
     w = [f"w{i}" for i in range(60)]
