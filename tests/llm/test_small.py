@@ -331,6 +331,20 @@ def _varied_lines() -> list[tuple[int, str]]:
     return rows
 
 
+def test_lines_are_compared_only_if_their_bitmaps_allow(spark, monkeypatch):
+    rows, asked, real = _varied_lines(), [], lines._verified
+
+    def counted(pairs, texts):
+        asked.extend((r.x.doc_id, r.y.doc_id) for r in pairs.collect())
+        return real(pairs, texts)
+
+    monkeypatch.setattr(lines, "_verified", counted)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {tuple(r) for r in lines.removed_lines(df).collect()} == brute.repeated_lines(rows)
+    sets = {d: {tuple(t.split()[i : i + 5]) for i in range(56)} for d, t in rows}
+    assert asked and min(len(sets[x] & sets[y]) / len(sets[x] | sets[y]) for x, y in asked) > 0.6
+
+
 def test_plans_of_lines_are_short(spark):
     """The driver keeps a description of every plan; the ranks of the words stand in it."""
     df = spark.createDataFrame([(k, f"{t} " * 50) for k, t in _varied_lines()], "doc_id long, text string")
