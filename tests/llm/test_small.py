@@ -370,6 +370,24 @@ def test_lines_that_the_earliest_does_not_settle(spark):
     assert {tuple(r) for r in lines.removed_lines(df).collect()} == brute.repeated_lines(rows)
 
 
+def test_lines_that_share_rare_shingles_are_settled_at_once(spark, monkeypatch):
+    """Shingles of a few lines: no further rounds over the tables, also where the earliest is no likeness."""
+    rows = [(k, " ".join(f"w{i}" for i in range(6 * k, 6 * k + 40))) for k in range(12)]
+    rows += [(20 + k, " ".join(f"w{i}" for i in range(6 * k + 1, 6 * k + 41))) for k in range(12)]
+    df, rounds, real = spark.createDataFrame(rows, "doc_id long, text string"), [], lines._drawn
+    monkeypatch.setattr(lines, "_drawn", lambda *tables: rounds.append(1) or real(*tables))
+    want = brute.repeated_lines(rows)
+    assert {tuple(r) for r in lines.removed_lines(df).collect()} == want and len(want) == 12 and not rounds
+
+
+@pytest.mark.parametrize("few", [1, 3])
+def test_lines_of_many_classes_are_settled_by_rounds(docs, monkeypatch, few):
+    monkeypatch.setattr(lines, "FEW", few)
+    for rows in (list(docs.by_id.items()), _varied_lines()):
+        df = docs.df.sparkSession.createDataFrame(rows, "doc_id long, text string")
+        assert {tuple(r) for r in lines.removed_lines(df).collect()} == brute.repeated_lines(rows)
+
+
 def test_native_operators_stay_out_of_python(spark, docs, capsys):
     messages = spark.createDataFrame([(1, 0, "user", "a")], "conv_id long, turn long, role string, text string")
     for df in (lines.digest(docs.df), quotes.conversations(messages)):
